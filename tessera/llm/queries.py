@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, secrets, toxicity, wavelet
+from . import chat, decontaminate, neighbours, packing, secrets, toxicity, wavelet
 from .storage import table
 
 
@@ -35,6 +35,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
@@ -57,4 +61,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op4_pack, op6_wavelet, op8_toxicity, op10_chat)}
+    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op4_pack, op5_neighbours, op6_wavelet, op8_toxicity, op10_chat)}
