@@ -19,8 +19,8 @@ from .storage import materialize
 
 #: What separates words: ASCII but for digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word before A-Z become lower case: as many as after.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same before A-Z become lower case.
+ANY_CASE_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SHINGLE = 3
 #: Most benchmark rows (shingles, windows) that are sent to all executors; beyond, both sides are dealt by shingle.
 BROADCAST_ROWS = 500_000
@@ -91,7 +91,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), parts_of(F.col(item_text_col)).alias("parts")).where("item is not null")
     items = materialize(items.select("item", trimmed(F.col("parts")).alias("iwords")), "items")
     found = [x for size in (SHINGLE, 1) if (x := hit_windows(worded, items, window, size)) is not None]
-    counted = base.select("doc_id", "text_key", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
+    counted = base.select("doc_id", "text_key", F.split("text", ANY_CASE_GAP).alias("parts")).select("doc_id", "text_key", F.size(trimmed(F.col("parts"))).cast("long").alias("n_words"))
     if not found:
         empty = F.array().cast("array<string>")
         return counted.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), empty.alias("items"), F.lit(False).alias("contaminated"))

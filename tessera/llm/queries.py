@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, neighbours, packing, secrets, toxicity, wavelet
+from . import chat, decontaminate, fuzzy_lines, neighbours, order_minhash, packing, secrets, toxicity, wavelet
 from .storage import table
 
 
@@ -31,6 +31,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -50,6 +54,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -61,4 +69,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op4_pack, op5_neighbours, op6_wavelet, op8_toxicity, op10_chat)}
+    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_near_duplicates, op4_pack, op5_neighbours, op6_wavelet, op8_toxicity, op9_line_dedup, op10_chat)}

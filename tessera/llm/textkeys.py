@@ -92,10 +92,12 @@ def shingle_keys(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.n
     return keys, to
 
 
-def occurrence_labelled(keys: np.ndarray) -> np.ndarray:
-    """Each key mixed with how many equal keys stand before it, which makes the keys of one text distinct."""
-    order = np.argsort(keys, kind="stable")
-    by_key = keys[order]
+def occurrence_labelled(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Each key mixed with how many equal keys stand before it in its text, which makes the keys of one text distinct."""
+    owner = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64), np.diff(bounds))
+    apart = mix(keys + owner * U64(0xA24BAED4963EE407))
+    order = np.argsort(apart, kind="stable")
+    by_key = apart[order]
     new = np.concatenate(([True], by_key[1:] != by_key[:-1])) if len(keys) else np.zeros(0, dtype=bool)
     at = np.arange(len(keys))
     nth = np.empty(len(keys), dtype=np.uint64)

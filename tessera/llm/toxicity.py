@@ -175,17 +175,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
     return Model(terms, fit_logistic(np.array(measured["x"].tolist()), measured["y"].to_numpy()).tolist())
 
 
-def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score`` (0 to 1) per row of whole texts. Null and empty texts get the score of a text without hits; equal texts equal scores."""
+def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """``doc_id, score`` (0 to 1) per row of whole texts; with ``keep`` all columns of ``df`` and ``score`` instead.
+
+    Null and empty texts get the score of a text without hits; equal texts
+    equal scores.
+    """
+    rows = df if keep else text_or_empty(df, id_col, text_col)
+    text_at = df.columns.index(text_col) if keep else 1
+    schema = df.drop("score").schema.add("score", "double") if keep else "doc_id long, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, beta = Lexicon(model.terms), np.array(model.beta)
         for batch in batches:
-            x = np.array([features(t, lexicon) for t in batch.column("text").to_pylist()]).reshape(-1, N_FEATURES)
-            scores = 1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            x = np.array([features(t or "", lexicon) for t in batch.column(text_at).to_pylist()]).reshape(-1, N_FEATURES)
+            scores = pa.array(1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30))), pa.float64())
+            held = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if (keep and n != "score") or n == "doc_id"]
+            yield pa.RecordBatch.from_arrays([*(c for _, c in held), scores], names=[*(n for n, _ in held), "score"])
 
-    return text_or_empty(df, id_col, text_col).mapInArrow(score, "doc_id long, score double")
+    return rows.mapInArrow(score, schema)
 
 
 def trained(docs: DataFrame, labels: DataFrame, held_out: bool = True) -> Model:
