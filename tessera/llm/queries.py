@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fuzzy_lines, neighbours, order_minhash, packing, secrets, toxicity, wavelet
+from . import chat, decontaminate, fuzzy_lines, neighbours, order_minhash, packing, repeats, secrets, toxicity, wavelet
 from .storage import table
 
 
@@ -47,6 +47,10 @@ def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
@@ -69,4 +73,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_near_duplicates, op4_pack, op5_neighbours, op6_wavelet, op8_toxicity, op9_line_dedup, op10_chat)}
+    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_near_duplicates, op4_pack, op5_neighbours, op6_wavelet, op7_repeats, op8_toxicity, op9_line_dedup, op10_chat)}
