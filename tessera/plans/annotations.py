@@ -246,7 +246,7 @@ def w05_counter(spark, sf_dir):
     return rank.global_rank(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.asc("o_custkey"), F.asc("o_orderkey"), name="annotation_id")
 
 
-@query("select user_id, event_id, sum(case when value >= 50 then 1 else 0 end) over (partition by user_id order by event_id) - 1 as valid_index from events")
+@query("select user_id, event_id, sum(case when value >= 50 then 1 else 0 end) over (partition by user_id order by event_id)::bigint - 1 as valid_index from events")
 def w10_valid_index(spark, sf_dir):
     w = W.partitionBy("user_id").orderBy("event_id").rowsBetween(W.unboundedPreceding, 0)
     return table(spark, sf_dir, "events").select("user_id", "event_id", (F.sum(F.when(F.col("value") >= 50, 1).otherwise(0)).over(w) - 1).alias("valid_index"))
