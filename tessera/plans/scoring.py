@@ -219,11 +219,11 @@ def r12_reversed(spark, sf_dir):
     return c.select("conv_id", F.when(F.col("conv_id") % 2 == 0, F.reverse("turns")).otherwise(F.col("turns")).alias("turns"))
 
 
-@query("select page_id, regexp_extract(url, '([^/]*)$', 1) as name, format('{:06d}_{}', page_id, regexp_extract(url, '([^/]*)$', 1)) as numbered, 'data:image/jpeg;base64,' || base64(encode(left(html, 30))) as data_url, case when length(html) > 80 then left(html, 80) || '...' else html end as preview from pages where not regexp_matches(url, '\\.(png|gif|webp|bmp)$')")
+@query("select page_id, regexp_extract(url, '([^/]*)$', 1) as name, format('{:06d}_{}', page_id, regexp_extract(url, '([^/]*)$', 1)) as numbered, 'data:image/jpeg;base64,' || base64(encode(html)) as data_url, case when length(html) > 80 then left(html, 80) || '...' else html end as preview from pages where not regexp_matches(url, '\\.(png|gif|webp|bmp)$')")
 def f02_paths(spark, sf_dir):
     p, url = table(spark, sf_dir, "pages"), F.col("url")
     p = p.where(~url.rlike(r"\.(png|gif|webp|bmp)$"))
-    return p.select("page_id", text.file_name(url).alias("name"), text.numbered_name(F.col("page_id"), text.file_name(url)).alias("numbered"), text.data_url(url, F.substring("html", 1, 30).cast("binary")).alias("data_url"), text.preview(F.col("html")).alias("preview"))
+    return p.select("page_id", text.file_name(url).alias("name"), text.numbered_name(F.col("page_id"), text.file_name(url)).alias("numbered"), text.data_url(url, F.col("html").cast("binary")).alias("data_url"), text.preview(F.col("html")).alias("preview"))
 
 
 @query("select vec_id, label, replace('good lighting ' || label, ' ', '_') as column_name, case when lower(trim(' Class ' || label)) = 'class 3' then 'a photo of ' || ' Class ' || label || '!' else ' Class ' || label end as affixed from embeddings")
