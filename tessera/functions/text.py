@@ -44,7 +44,7 @@ def mime_type(path: Column) -> Column:
 
 
 def data_url(path: Column, content: Column) -> Column:
-    return F.concat(F.lit("data:"), mime_type(path), F.lit(";base64,"), F.base64(content))
+    return F.concat(F.lit("data:"), mime_type(path), F.lit(";base64,"), F.replace(F.base64(content), F.lit("\r\n"), F.lit("")))
 
 
 def numbered_name(index: Column, name: Column) -> Column:
