@@ -1,7 +1,26 @@
-"""DuckDB SQL of this subpackage's queries, where SQL can express them."""
+"""DuckDB SQL of this subpackage's queries, where SQL can express them.
+
+The secret spans, sketches, forests, packings, shards, suffix orders, learned
+scores and chat windows have no form in SQL; ``tests/llm`` holds them against
+brute force.
+"""
 
 from __future__ import annotations
 
+_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP2 = f"""
+with d as (select doc_id, {_WORDS.format("text")} as w from documents),
+i as (select item_id::varchar as item, {_WORDS.format("text")} as w from benchmark),
+iw as (select item, array_to_string(w[s : s + m - 1], ' ') as k, m from (select item, w, least(10, len(w)) as m, unnest(range(1, len(w) - least(10, len(w)) + 2)) as s from i where len(w) > 0)),
+dw as (select doc_id, p, m, array_to_string(w[p : p + m - 1], ' ') as k from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as p from d, (select distinct m from iw))),
+h as (select dw.doc_id, iw.item, dw.p, dw.m from dw join iw on dw.k = iw.k and dw.m = iw.m),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(p, p + m)) as p from h) group by 1),
+items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct doc_id, item from h) group by 1)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontaminate": OP2}
