@@ -18,8 +18,9 @@ def components(links: DataFrame) -> DataFrame:
     Self-links and repeated links have no effect; no links give no rows.
     """
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    checksum = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = checksum()
+    while before[0]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
@@ -28,8 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("low").alias("v")).unionAll(joined.select("u", F.col("low").alias("v")))
         edges = materialize(small.where("u <> v").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before is not None and now == before:
+        now = checksum()
+        if now == before:
             break
         before = now
     roots = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("id"), "root")
