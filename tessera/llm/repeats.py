@@ -31,6 +31,8 @@ WINDOW = LENGTH - GRAM + 1
 BROADCAST_ROWS = 1_000_000
 #: Bytes a shard holds in the mean, and most runs of one gram that stay in one shard.
 SHARD_BYTES, SHARD_RUNS = 1 << 19, 1000
+#: Windows in the mean of a range of keys, over all shards, that are merged together.
+RANGE_WINDOWS = 1 << 20
 
 
 def sliding_min(g: np.ndarray, size: int) -> np.ndarray:
@@ -150,8 +152,15 @@ def runs(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(find, "row long, start int, windows int, gram long, digest long, twice boolean")
 
 
-def shard_repeats(shard: pd.DataFrame) -> pd.DataFrame:
-    """Repeated spans of a shard's open runs, and for split grams the keys of windows that may repeat in another shard."""
+RESULT = "row long, start long, end long, part long, keys binary, rows binary, starts binary"
+
+
+def shard_repeats(shard: pd.DataFrame, ranges: int) -> pd.DataFrame:
+    """Repeated spans of a shard's open runs; for split grams also its distinct windows, sorted by key and cut into ``ranges``.
+
+    A window that needs no answer, as it is known to repeat or is not open,
+    has start -1: it may still answer for another shard's.
+    """
     shard = shard.sort_values(["row", "start"], kind="stable")
     parts = [np.frombuffer(b, dtype=np.uint8) for b in shard["bytes"]]
     sizes = np.array([len(p) for p in parts])
@@ -169,18 +178,42 @@ def shard_repeats(shard: pd.DataFrame) -> pd.DataFrame:
     open_ = shard["open"].to_numpy()[owner]
     row, at = shard["row"].to_numpy()[owner], shard["start"].to_numpy()[owner] + offset
     hit = many & open_
-    edge = hit & np.concatenate(([True], ~hit[:-1] | (owner[1:] != owner[:-1]))) if len(hit) else hit
-    last = hit & np.concatenate((~hit[1:] | (owner[1:] != owner[:-1]), [True])) if len(hit) else hit
-    spans = pd.DataFrame({"row": row[edge], "start": at[edge], "end": at[last] + LENGTH, "key": None})
-    split = shard["split"].to_numpy()[owner]
-    _, one = np.unique(klass, return_index=True)
+    edge = hit & np.concatenate(([True], ~hit[:-1] | (owner[1:] != owner[:-1])))
+    last = hit & np.concatenate((~hit[1:] | (owner[1:] != owner[:-1]), [True]))
+    out = [pd.DataFrame({"row": row[edge], "start": at[edge], "end": at[last] + LENGTH}, dtype="Int64")]
     asked = np.zeros(len(klass), dtype=bool)
-    asked[one] = True
-    asked &= split
-    sums, inverse = K.prefix_keys(text)
-    keys = K.span_keys(sums, inverse, whole[asked], whole[asked] + LENGTH).view(np.int64)
-    shared = pd.DataFrame({"row": np.where((open_ & ~many)[asked], row[asked], 0), "start": np.where((open_ & ~many)[asked], at[asked], -1), "end": -1, "key": keys})
-    return pd.concat([spans.astype({"key": "Int64"}), shared.astype({"key": "Int64"})]).astype({"row": "int64", "start": "int64", "end": "int64"})
+    asked[np.unique(klass, return_index=True)[1]] = True
+    asked &= shard["split"].to_numpy()[owner]
+    if asked.any():
+        sums, inverse = K.prefix_keys(text)
+        keys = K.span_keys(sums, inverse, whole[asked], whole[asked] + LENGTH)
+        starts = np.where((open_ & ~many)[asked], at[asked], -1)
+        by = np.argsort(keys)
+        keys, rows, starts = keys[by], row[asked][by], starts[by]
+        cuts = np.searchsorted(keys, np.array([k * 2**64 // ranges for k in range(ranges)], dtype=np.uint64))
+        bounds = [*cuts, len(keys)]
+        out.append(pd.DataFrame([(k, keys[a:b].tobytes(), rows[a:b].tobytes(), starts[a:b].tobytes()) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a], columns=["part", "keys", "rows", "starts"]))
+    every = pd.concat(out, ignore_index=True).reindex(columns=[c.split()[0] for c in RESULT.split(", ")])
+    numbers = every[["row", "start", "end", "part"]].astype("Int64")
+    return numbers.join(every[["keys", "rows", "starts"]].astype(object).where(every[["keys", "rows", "starts"]].notna(), None))
+
+
+def merge_shards(part: pd.DataFrame) -> pd.DataFrame:
+    """``row, starts`` of the windows of one range of keys that another shard holds too: each shard's sorted keys are looked up in the others' by binary search."""
+    keys = [np.frombuffer(b, np.uint64) for b in part["keys"]]
+    merged = np.sort(np.concatenate(keys), kind="stable")
+    found_rows, found_starts = [], []
+    for own, rows, starts in zip(keys, part["rows"], part["starts"], strict=True):
+        shared = np.searchsorted(merged, own, "right") - np.searchsorted(merged, own, "left") > 1
+        starts = np.frombuffer(starts, np.int64)
+        shared &= starts >= 0
+        found_rows.append(np.frombuffer(rows, np.int64)[shared])
+        found_starts.append(starts[shared])
+    row, start = np.concatenate(found_rows), np.concatenate(found_starts)
+    by = np.lexsort((start, row))
+    row, start = row[by], start[by]
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.zeros(0, int)
+    return pd.DataFrame({"row": row[first], "starts": np.split(start, first[1:]) if len(row) else []})
 
 
 def near(df: DataFrame) -> DataFrame:
@@ -191,15 +224,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``row, spans`` (start, end in bytes) of the documents of ``with_row`` that repeat ``LENGTH`` bytes of any document."""
     found = materialize(runs(docs), "runs")
     common = materialize(found.groupBy("gram").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("gram"), "grams")
-    live = materialize(found.join(near(common), "gram", "left_semi"), "live")
+    live = materialize(found.join(common, "gram", "left_semi"), "live")
     first = F.min(F.struct("row", "start", "windows")).alias("first")
     kinds = materialize(live.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.max("twice").alias("twice"), first), "kinds")
     copied = kinds.where("n > 1").select("gram", "digest")
-    whole = live.join(near(copied), ["gram", "digest"], "left_semi").select("row", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("windows") + (LENGTH - 1)).cast("long").alias("end"))
+    whole = live.join(copied, ["gram", "digest"], "left_semi").select("row", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("windows") + (LENGTH - 1)).cast("long").alias("end"))
     # Open runs, each once and with every other kind of run around the same gram.
     open_ = F.col("n") == 1
     grams = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.max(open_).alias("any_open"), F.max(open_ & F.col("twice")).alias("self")).where("any_open and (kinds > 1 or self)").select("gram", "kinds")
-    parts = materialize(kinds.join(near(materialize(grams, "open")), "gram").select("gram", "digest", "kinds", open_.alias("open"), "first.*"), "open_runs")
+    parts = materialize(kinds.join(grams, "gram").select("gram", "digest", "kinds", open_.alias("open"), "first.*"), "open_runs")
     held = docs.select("row", F.col("text").cast("binary").alias("bytes"))
     cut = F.substring(F.col("bytes"), F.col("start") + 1, F.col("windows") + (LENGTH - 1))
     cut = held.join(near(parts), "row").select("gram", "digest", "kinds", "open", "row", "start", cut.alias("bytes"))
@@ -209,12 +242,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     split = F.col("kinds") > SHARD_RUNS
     salt = F.when(split, F.pmod(F.col("digest"), F.ceil(F.col("kinds") / SHARD_RUNS))).otherwise(F.lit(0).cast("long"))
     dealt = pieces.withColumn("split", split).withColumn("shard", F.pmod(F.xxhash64("gram", salt), F.lit(shards))).select("shard", "row", "start", "open", "split", "bytes")
-    local = materialize(dealt.groupBy("shard").applyInPandas(shard_repeats, "row long, start long, end long, key long"), "local")
-    keys = local.where("key is not null")
-    twice = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    across = keys.where("start >= 0").join(twice, "key", "left_semi").select("row", "start", (F.col("start") + LENGTH).alias("end"))
-    spans = whole.unionAll(local.where("key is null").select("row", "start", "end")).unionAll(across)
-    return spans.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    n_split = pieces.where(split).agg(F.sum(F.length("bytes") - (LENGTH - 1))).first()[0] or 0
+    ranges = max(1, -(-n_split // RANGE_WINDOWS))
+    local = materialize(dealt.groupBy("shard").applyInPandas(lambda x: shard_repeats(x, ranges), RESULT), "local")
+    across = local.where("part is not null").groupBy("part").applyInPandas(merge_shards, "row long, starts array<long>")
+    span = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
+    found = across.select("row", F.transform("starts", lambda x: span(x, x + LENGTH)).alias("some"))
+    spans = whole.unionAll(local.where("part is null").select("row", "start", "end")).select("row", F.array(span(F.col("start"), F.col("end"))).alias("some")).unionAll(found)
+    return spans.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("spans"))
 
 
 def kept_bytes(data: bytes, spans: list[dict] | None) -> tuple[int, int, bytes]:
