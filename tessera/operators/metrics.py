@@ -64,7 +64,7 @@ def average_precision(dets: DataFrame, truths: DataFrame, group: list[str]) -> D
     """
     w = W.partitionBy(*group).orderBy(F.desc("score"), F.asc("dt_id")).rowsBetween(W.unboundedPreceding, 0)
     run = dets.withColumn("tp", F.sum(F.col("matched").cast("int")).over(w)).withColumn("k", F.count("*").over(w)).join(truths, group)
-    after = W.partitionBy(*group).orderBy(F.desc("score"), F.asc("dt_id")).rowsBetween(0, W.unboundedFollowing)
+    after = W.partitionBy(*group).orderBy(F.asc("score"), F.desc("dt_id")).rowsBetween(W.unboundedPreceding, 0)  # running from the end
     best = run.withColumn("r", F.col("tp") / F.col("n")).withColumn("p", F.max(F.col("tp") / F.col("k")).over(after))
     # Each detection is the first to reach the recalls between the one before and its own.
     before = F.coalesce(F.lag("r").over(W.partitionBy(*group).orderBy(F.desc("score"), F.asc("dt_id"))), F.lit(-1.0))
