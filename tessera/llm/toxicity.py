@@ -2,8 +2,7 @@
 
 The lexicon is learned: whole words and word beginnings that mark labelled
 rows, found in a bounded sample. A word is looked up by running a Levenshtein
-automaton (its rows of edit distances, pruned as soon as no cell is within
-reach) down the trie, so misspelled terms are caught too. Each hit's window
+automaton down the trie, so misspelled terms are caught too. Each hit's window
 says whether it stands in quotation. A logistic model of those sums scores.
 """
 
@@ -37,6 +36,7 @@ REPORTING = frozenset("said says quote quoted quotes called wrote writes reporte
 class Node:
     below: dict[str, Node] = field(default_factory=dict)
     word: float = 0.0  # weight of a term that ends here
+    misspelt: float = 0.0  # the same if it is long enough to be known by a misspelling
     beginning: float = 0.0  # weight of all words that begin so
 
 
@@ -53,8 +53,10 @@ class Lexicon:
                 node = node.below.setdefault(ch, Node())
             if term[0] == "=":
                 node.word = weight
-                cut = len(term[1:]) // 2
-                self.halves |= {"<" + term[1:][:cut], ">" + term[1:][cut:]}
+                if len(term[1:]) >= 5:
+                    node.misspelt = weight
+                    cut = len(term[1:]) // 2
+                    self.halves |= {"<" + term[1:][:cut], ">" + term[1:][cut:]}
             else:
                 node.beginning = weight
         self.half_sizes = sorted({(h[0], len(h) - 1) for h in self.halves})
@@ -67,28 +69,39 @@ class Lexicon:
             best = max(best, node.beginning)
         return max(best, node.word)
 
-    def _fuzzy(self, word: str, distance: int = 1) -> float:
-        """Best weight of a term within ``distance`` edits of the word."""
-        best, stack = 0.0, [(self.root, [*range(len(word) + 1)])]
-        while stack:
-            node, row = stack.pop()
-            if node.word > best and row[-1] <= distance:
-                best = node.word
+    def _fuzzy(self, word: str) -> float:
+        """Best weight of a term one edit away: the automaton's states are (letters read, edits), and run down the trie.
+
+        With no edit yet there is one state a letter; after the edit the rest
+        of the word must follow the trie exactly, which mostly ends at once.
+        """
+
+        def ends(node: Node, rest: str) -> float:
+            for ch in rest:
+                if (node := node.below.get(ch)) is None:
+                    return 0.0
+            return node.misspelt
+
+        best, node = 0.0, self.root
+        for i in range(len(word) + 1):
+            rest, after = word[i:], word[i + 1 :]
+            if rest:
+                best = max(best, ends(node, after))  # a letter too many
             for ch, below in node.below.items():
-                step = [row[0] + 1]
-                for i, c in enumerate(word):
-                    step.append(min(step[i] + 1, row[i + 1] + 1, row[i] + (c != ch)))
-                if min(step) <= distance:
-                    stack.append((below, step))
+                best = max(best, ends(below, rest))  # a letter too few
+                if rest and ch != rest[0]:
+                    best = max(best, ends(below, after))  # another letter
+            if not rest or (node := node.below.get(rest[0])) is None:
+                break
         return best
 
     def lookup(self, word: str) -> tuple[float, int]:
-        """(weight, edits): 0 edits for a term or a marked beginning, 1 for a misspelled term of 5 letters or more."""
+        """(weight, edits): 0 edits for a term or a marked beginning, 1 for one misspelling of a term of 5 letters or more."""
         if (known := self.kept.get(word)) is not None:
             return known
         found = (self._exact(word), 0)
         # One edit leaves one half of the term whole: other words need no automaton.
-        if not found[0] and 5 <= len(word) <= 32 and any((("<" + word[:n]) if side == "<" else (">" + word[-n:])) in self.halves for side, n in self.half_sizes if n):
+        if not found[0] and 4 <= len(word) <= 32 and any((("<" + word[:n]) if side == "<" else (">" + word[-n:])) in self.halves for side, n in self.half_sizes if n):
             found = (self._fuzzy(word), 1)
         if len(self.kept) >= self.max_kept:
             self.kept.clear()
