@@ -3,30 +3,34 @@
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
-#: White space next to a space, or at either end: there a cut before a space could change the ids.
-_UNEVEN = re.compile(r" \s|\s |\A\s|\s\Z")
+#: Marks that often end a word.
+_MARKS = (",", ".")
 
 
 class PieceEncoder:
     """Ids as little-endian uint32 bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
-    Both kinds of vocabulary split a text before each single space, so the ids
-    of a text are those of its space-separated pieces. A piece's ids come from
-    the tokenizer once and are then kept; of two generations of ``max_kept``
-    pieces the older is dropped when the younger is full. Texts with uneven
-    white space are encoded whole where white space has tokens.
+    Both kinds of vocabulary split a text before each single space or line
+    end, so the ids of a text are those of its pieces between them. A piece's
+    ids come from the tokenizer once and are then kept; of two generations of
+    ``max_kept`` pieces the older is dropped when the younger is full. Where
+    white space has tokens, a piece but the first begins with its space or line
+    end, and texts with other white space next to those are encoded whole.
+    Where it has none, letters count in lower case, and texts whose lower case
+    depends on more than each letter are encoded whole.
     """
 
-    def __init__(self, path: str, white_space_has_tokens: bool, max_kept: int = 500_000):
+    def __init__(self, path: str, white_space_has_tokens: bool, max_kept: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.prefix = " " if white_space_has_tokens else ""
+        self.spaced = white_space_has_tokens
         self.max_kept = max_kept
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -35,27 +39,46 @@ class PieceEncoder:
         for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             yield array("I", e.ids).tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.young) > self.max_kept:  # then every piece of this text is missing, and moves over or is encoded anew
-            self.old, self.young = self.young, {}
-        missing = [p for p in pieces if p not in self.young]
+    def _pieces(self, text: str) -> list[str] | None:
+        if self.spaced:
+            return text.replace("\n", " \n").split(" ")
+        if "<|" in text:  # a special token, or what would become one
+            return None
+        if not text.isascii():
+            if "Σ" in text or not unicodedata.is_normalized("NFC", text) or not unicodedata.is_normalized("NFC", text.lower()):
+                return None
+        return text.lower().replace("\n", " ").split(" ")
+
+    def _learn(self, pieces: list[str]) -> bool:
+        """Keeps the ids of pieces that are not among the young; False if one has uneven white space."""
+        missing = set(pieces)
+        if self.spaced and any(not p or p[-1].isspace() or p[0].isspace() and (p[0] != "\n" or p[1].isspace()) for p in missing):
+            return False
         self.young.update((p, self.old[p]) for p in missing if p in self.old)
-        new = [p for p in missing if p not in self.young]
-        self.young.update(zip(new, self._encode([self.prefix + p for p in new]), strict=True))
+        new = {p for p in missing if p not in self.young}
+        # A word and the mark after it are split as well: only the word may be new.
+        marked = [p for p in new if p[-1:] in _MARKS and p[:-1].isalpha()]
+        new.difference_update(marked)
+        new.update(p[:-1] for p in marked if p[:-1] not in self.young)
+        self.young.update(zip(new, self._encode([" " + p if self.spaced and p[0] != "\n" else p for p in new]), strict=True))
+        self.young.update((p, self.young[p[:-1]] + self._mark(p[-1])) for p in marked)
+        return True
+
+    @cache
+    def _mark(self, mark: str) -> bytes:
+        return next(self._encode([mark]))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.prefix and _UNEVEN.search(text):
+        if len(self.young) > self.max_kept:
+            self.old, self.young = self.young, {}
+        pieces, young = self._pieces(text), self.young
+        if pieces is None or (missing := [p for p in pieces if p not in young]) and not self._learn(missing):
             return next(self._encode([text]))
-        pieces = text.split(" ")
-        try:
-            ids = b"".join(map(self.young.__getitem__, pieces))
-        except KeyError:
-            self._learn(set(pieces))
-            ids = b"".join(map(self.young.__getitem__, pieces))
-        if self.prefix:  # the first piece has no space before it
-            ids = next(self._encode(pieces[:1])) + ids[len(self.young[pieces[0]]) :]
+        ids = b"".join(map(young.__getitem__, pieces))
+        if self.spaced:  # the first piece has no space before it
+            ids = next(self._encode(pieces[:1])) + ids[len(young[pieces[0]]) :]
         return ids
 
 
