@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .encoding import encoder
 from .storage import materialize, text_or_empty
@@ -85,7 +86,7 @@ def pack(pieces: DataFrame, capacity: int, group_size: int = 2000, seed: int = 7
     rows each get a place of their own. ``length`` must be 1 to ``capacity``.
     """
     n_groups = max(1, -(-pieces.count() // group_size))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     grouped = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(n_groups)))
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
