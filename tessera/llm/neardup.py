@@ -1,16 +1,17 @@
-"""Links between near-duplicates from sketch buckets, without pairing a bucket's members with each other.
+"""Links between near-duplicates from sketch buckets.
 
-In each round a bucket's members are compared with its few leaders, and only
-across components: what is already connected needs no further link. A new
-order picks other leaders in the next round. So a bucket of g members costs a
-few times g comparisons, however large it is; two leaders meet all pairs of a
-bucket of three, and a pair shares many buckets.
+A few rounds compare a bucket's members with its leaders, and only across
+components: what is already connected needs no further link. Two leaders meet
+all pairs of a bucket of three. What larger buckets leave is met by an exact
+join: similar sets share one of their rarest elements (prefix filter), and the
+holders of an element are paired in blocks, across components only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,16 @@ from .storage import materialize
 
 #: Most buckets sent to all executors; beyond, members and buckets are both dealt by bucket.
 BROADCAST_BUCKETS = 1_000_000
+#: Holders of an element in one block; blocks are paired with each other in tasks of their own.
+BLOCK = 256
+#: 64-bit words of a set's parity marks.
+MARKS = 4
+
+
+def parity_marks(tokens: np.ndarray) -> np.ndarray:
+    """Bits that are the parity of the tokens dealt to them: two sets differ in at least as many tokens as bits."""
+    odd = np.bincount((tokens.view(np.uint64) >> np.uint64(20)) % np.uint64(64 * MARKS), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -29,7 +40,32 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return materialize(rows.join(many, "bucket", "left_semi").distinct(), "live")
 
 
-def near_links(live: DataFrame, floor: float, verify: Callable[[DataFrame], DataFrame], first_share: int, leaders: tuple[int, ...]) -> DataFrame:
+def rest_pairs(members: DataFrame, floor: float, profile: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``a, b, ra, rb``: a superset of the pairs of ``members(id, root)`` of different roots and a similarity of at least ``floor``.
+
+    Elements that only one root holds come first in the order of elements, then
+    rarer ones. A set that shares ``floor`` of its elements with another shares
+    one of the first ``size - ceil(floor * size) + 1``.
+    """
+    known = materialize(profile(members.select("id")).join(members, "id"), "profiles")
+    roots = (F.min("root").alias("least"), F.max("root").alias("most"))
+    each = known.select("id", "root", F.explode("tokens").alias("token"))
+    shared = each.groupBy("token").agg(F.count("*").alias("often"), *roots).where("least <> most").select("token", "often")
+    ranked = each.join(shared, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("ts"))
+    taken = F.col("size") - F.ceil(floor * F.col("size") - 1e-9) + 1 - (F.col("size") - F.size("ts"))
+    first = known.drop("tokens").join(ranked, "id").withColumn("taken", taken.cast("int")).where("taken > 0")
+    at = materialize(first.withColumn("t", F.explode(F.slice("ts", 1, F.col("taken")))).withColumn("token", F.col("t.token")).drop("ts", "taken", "t"), "prefixes")
+    held = at.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), *roots).where("least <> most").select("token", "blocks")
+    dealt = at.join(held, "token").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
+    x = dealt.select("token", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("size").alias("nx"), F.col("marks").alias("mx"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    y = dealt.select("token", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("size").alias("ny"), F.col("marks").alias("my"), F.col("own").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("i"))
+    apart = sum((F.bit_count(F.col("mx")[k].bitwiseXOR(F.col("my")[k])) for k in range(MARKS)), F.lit(0))
+    fit = (F.least("nx", "ny") >= floor * F.greatest("nx", "ny") - 1e-9) & (apart <= (1 - floor) / (1 + floor) * (F.col("nx") + F.col("ny")) + 1e-9)
+    met = x.join(y, ["token", "i", "j"]).where((F.col("rx") != F.col("ry")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y"))) & fit)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("rx", "ry").alias("ra"), F.greatest("rx", "ry").alias("rb")).dropDuplicates(["a", "b"])
+
+
+def near_links(live: DataFrame, floor: float, verify: Callable[[DataFrame], DataFrame], profile: Callable[[DataFrame], DataFrame], first_share: int, leaders: tuple[int, ...]) -> DataFrame:
     """``id, root`` of every id with a verified link.
 
     ``verify`` gives the roots ``ra, rb`` of those rows of ``pairs(a, b, ra,
@@ -38,8 +74,21 @@ def near_links(live: DataFrame, floor: float, verify: Callable[[DataFrame], Data
     factor at most. ``leaders`` has their number in each round, the
     ends of one order of the bucket or of two. The first round takes one bucket in
     ``first_share``: it joins the bulk of a large group at little cost.
+    ``profile`` gives ``id, size, tokens, marks`` of ids: the distinct elements
+    of their sets, how many, and their parity marks. With it, the ids of
+    buckets that still hold several components are joined exactly.
     """
     tested, roots = None, None
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        # Links join the components known so far: what was connected stays, under the new root.
+        merged = components(verify(pairs).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        if roots is None:
+            return merged
+        moved = merged.select(F.col("id").alias("was"), F.col("root").alias("now"))
+        renamed = roots.join(moved, F.col("root") == F.col("was"), "left").select("id", F.coalesce("now", "root").alias("root"))
+        return materialize(renamed.unionAll(merged.join(roots.select("id"), "id", "left_anti")), "roots")
+
     for turn, number in enumerate(leaders):
         if roots is None:
             named = live.where(F.pmod("bucket", F.lit(first_share)) == 0).withColumn("root", F.col("id"))
@@ -59,12 +108,10 @@ def near_links(live: DataFrame, floor: float, verify: Callable[[DataFrame], Data
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = pairs.select("a", "b") if tested is None else tested.unionAll(pairs.select("a", "b"))
-        # Links join the components known so far: what was connected stays, under the new root.
-        merged = components(verify(pairs).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-        if roots is None:
-            roots = merged
-        else:
-            moved = merged.select(F.col("id").alias("was"), F.col("root").alias("now"))
-            renamed = roots.join(moved, F.col("root") == F.col("was"), "left").select("id", F.coalesce("now", "root").alias("root"))
-            roots = materialize(renamed.unionAll(merged.join(roots.select("id"), "id", "left_anti")), "roots")
-    return roots
+        roots = linked(pairs)
+    named = live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = named.groupBy("bucket").agg(F.max("root").alias("most"), F.min("root").alias("least")).where("least <> most").select("bucket")
+    members = materialize(named.join(several, "bucket", "left_semi").select("id", "root").distinct(), "members")
+    if members.isEmpty():
+        return roots
+    return linked(materialize(rest_pairs(members, floor, profile).join(tested, ["a", "b"], "left_anti"), "rest"))

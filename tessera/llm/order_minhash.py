@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import textkeys as K
 from .components import components
-from .neardup import near_links, shared_buckets
+from .neardup import near_links, parity_marks, shared_buckets
 from .storage import materialize, text_or_empty
 
 WORDS = 5
@@ -102,7 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def verifier(docs: DataFrame, live: DataFrame):
-    """Keeps the roots of the pairs whose texts align. The texts in question are gathered once."""
+    """Two functions: one keeps the roots of the pairs whose texts align, one gives the shingles of ids. The texts in question are gathered once."""
     texts = materialize(docs.join(live.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +126,18 @@ def verifier(docs: DataFrame, live: DataFrame):
         y = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("ra", "rb", "x", "y").mapInArrow(run, "ra long, rb long")
 
-    return verify
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in K.pieces(batch, "text"):
+                _, _, keys, at = shingled(data, offsets)
+                ts = [keys[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(ts, pa.list_(pa.int64())), pa.array([parity_marks(t) for t in ts], pa.list_(pa.int64()))], names=["id", "size", "tokens", "marks"])
+
+    def profile(ids: DataFrame) -> DataFrame:
+        wanted = texts.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        return wanted.select("doc_id", "text").mapInArrow(tokens, "id long, size long, tokens array<long>, marks array<long>")
+
+    return verify, profile
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,7 +155,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = materialize(usable.select("doc_id", "same").join(reps, "same").select("doc_id", "rep_id"), "member")
     alone = known.join(member.select(F.col("rep_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     live = shared_buckets(alone.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("id"), "n"))
-    near = near_links(live, SIMILARITY, verifier(docs, live), 8, LEADERS)
+    near = near_links(live, SIMILARITY, *verifier(docs, live), 8, LEADERS)
     # A document that stands twice with different texts ties its representatives together.
     ties = member.groupBy("doc_id").agg(F.min("rep_id").alias("a"), F.max("rep_id").alias("b")).where("a <> b").select(F.col("a").alias("id"), F.col("b").alias("root"))
     if not ties.isEmpty():

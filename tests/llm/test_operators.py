@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import chat, decontaminate, fuzzy_lines, neighbours, order_minhash, packing, repeats, secrets, toxicity, wavelet
+from tessera.llm import chat, decontaminate, fuzzy_lines, neardup, neighbours, order_minhash, packing, repeats, secrets, toxicity, wavelet
 from tessera.llm.components import components
 from tessera.llm.encoding import PieceEncoder
 
@@ -359,3 +360,25 @@ def test_chat(spark):
     for w in shown:
         assert sum(-(-len(p.split("[/INST]", 1)[1]) // 4) + 1 for p in w["formatted"].split("</s>") if p) <= 512 or w["formatted"].count("</s>") <= w["n_repeated"] + 1
     assert chat.read_chat(chat.format_chat(df.where("false"))).count() == 0
+
+
+def test_inner_member_of_a_large_component(spark, monkeypatch):
+    # 60 sets in a chain, each similar to its neighbours only, and strays that are similar to one inner member each; all share one bucket
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+
+    def near(x, y):
+        return len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])
+
+    sets = {k: set(range(10 * k, 10 * k + 100)) for k in range(60)}
+    for k in range(60, 70):
+        sets[k] = (sets[5 * (k - 60) + 3] - {50 * (k - 60) + 80}) | {10_000 + k}
+    schema = "id long, size long, tokens array<long>, marks array<long>"
+    tokens = {k: np.array(sorted(s), dtype=np.int64) * 0x9E3779B97F4A7 for k, s in sets.items()}
+    known = spark.createDataFrame([(k, len(t), t.tolist(), neardup.parity_marks(t).tolist()) for k, t in tokens.items()], schema)
+    live = spark.createDataFrame([(8, k, 100) for k in sets], "bucket long, id long, n long")
+
+    def verify(pairs):
+        return spark.createDataFrame([(r["ra"], r["rb"]) for r in pairs.collect() if near(r["a"], r["b"])], "ra long, rb long")
+
+    got = {r["id"]: r["root"] for r in neardup.near_links(live, 0.8, verify, lambda ids: known.join(ids, "id", "left_semi"), 1, (1, 2, 2)).collect()}
+    assert got == groups([(x, y) for x, y in itertools.combinations(sets, 2) if near(x, y)], sets)
