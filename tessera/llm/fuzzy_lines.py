@@ -28,7 +28,7 @@ HASHES, BINS, ROWS = 2, 20, 4
 BANDS = HASHES * BINS // ROWS
 #: Leaders of a bucket in each round.
 LEADERS = (1, 2, 2)
-#: Shorter lines are kept: headings, separators and single words repeat by nature.
+#: The default of the least length of a line; the query and the pipeline take every line that isn't blank.
 MIN_CHARS = 40
 #: What stands at a line's ends without being part of it; ASCII letters count in lower case.
 EDGE = " \t\r\x0b\x0c"
@@ -119,8 +119,11 @@ def with_row(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
-def line_bands(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, line_no, id, n, bands`` for each line of at least MIN_CHARS, edges aside; ``id`` is a digest of the line."""
+def line_bands(docs: DataFrame, least: int) -> DataFrame:
+    """``doc_id, row, line_no, id, n, bands`` for each line of at least ``least`` characters, edges aside; ``id`` is a digest of the line.
+
+    A line shorter than a shingle has no bands, so it meets its equals only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,15 +131,18 @@ def line_bands(docs: DataFrame) -> DataFrame:
                 places, lines = [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
                     for no, line in enumerate(lower_ascii(text).split("\n")):
-                        if len(line := line.strip(EDGE)) >= MIN_CHARS:
+                        if len(line := line.strip(EDGE)) >= least:
                             places.append((i, no))
                             lines.append(line)
                 if not lines:
                     continue
                 at, no = (np.array(x) for x in zip(*places, strict=True))
                 rows = part.take(pa.array(at)).select(["doc_id", "row"])
-                bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(lines).ravel()), BANDS).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(no, pa.int32()), pa.array([line_id(x) for x in lines], pa.int64()), pa.array([len(x) - CHARS + 1 for x in lines], pa.int32()), bands], names=["doc_id", "row", "line_no", "id", "n", "bands"])
+                shingled = [x for x in lines if len(x) >= CHARS]
+                keys = band_keys(shingled).ravel() if shingled else np.zeros(0, dtype=np.int32)
+                ends = np.cumsum([0] + [BANDS if len(x) >= CHARS else 0 for x in lines])
+                bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(no, pa.int32()), pa.array([line_id(x) for x in lines], pa.int64()), pa.array([max(len(x) - CHARS + 1, 0) for x in lines], pa.int32()), bands], names=["doc_id", "row", "line_no", "id", "n", "bands"])
 
     return docs.mapInArrow(run, "doc_id long, row long, line_no int, id long, n int, bands array<int>")
 
@@ -175,9 +181,9 @@ def verifier(docs: DataFrame, lines: DataFrame, live: DataFrame):
     return verify, profile
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, least: int) -> DataFrame:
     """``row, removed`` (sorted line numbers from 0) of the documents of ``with_row`` that lose a line."""
-    lines = materialize(line_bands(docs), "signatures")
+    lines = materialize(line_bands(docs, least), "signatures")
     one = F.posexplode("bands").alias("band", "key")
     live = shared_buckets(lines.select("id", F.col("n").cast("long").alias("n"), one).select(F.shiftleft(F.col("key").cast("long"), 4).bitwiseOR(F.col("band").cast("long")).alias("bucket"), "id", "n"))
     near = near_links(live, SIMILARITY, *verifier(docs, lines, live), 4, LEADERS)
@@ -188,18 +194,19 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return lost.groupBy("row").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 
-def fuzzy_line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fuzzy_line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_CHARS) -> DataFrame:
     """One row per input row: ``doc_id, n_lines, n_removed, removed`` (line numbers from 0).
 
     A line goes if it is equal (ASCII case and white space at its ends aside)
     or of a character-shingle similarity of at least 0.8 to one that stays
     before it, by id and line number, through any chain of such lines; lines
-    under MIN_CHARS stay. Null and empty texts have one empty line. Rows with
+    under ``least`` characters, and blank ones, stay; lines shorter than a
+    shingle go if they are equal. Null and empty texts have one empty line. Rows with
     equal ids and texts are one document, each row giving the same result.
     """
     docs = with_row(df, id_col, text_col)
     counted = docs.select("doc_id", "row", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
-    out = counted.join(repeated_lines(docs), "row", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    out = counted.join(repeated_lines(docs, least), "row", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
@@ -210,7 +217,7 @@ def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str
     MIN_CHARS is a copy of what stays elsewhere, and goes.
     """
     docs = with_row(df, id_col, text_col)
-    removed = repeated_lines(docs).select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))
+    removed = repeated_lines(docs, 1).select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     both = df.join(removed, F.xxhash64(F.col(id_col).cast("long"), text) == F.col("__row"), "left")
     both = both.withColumn("__left", F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("__removed", i)))

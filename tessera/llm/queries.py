@@ -59,7 +59,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
+    return fuzzy_lines.fuzzy_line_dedup(table(spark, sf_dir, "documents"), least=1)
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

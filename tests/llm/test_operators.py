@@ -382,3 +382,9 @@ def test_inner_member_of_a_large_component(spark, monkeypatch):
 
     got = {r["id"]: r["root"] for r in neardup.near_links(live, 0.8, verify, lambda ids: known.join(ids, "id", "left_semi"), 1, (1, 2, 2)).collect()}
     assert got == groups([(x, y) for x, y in itertools.combinations(sets, 2) if near(x, y)], sets)
+
+
+def test_short_lines(spark):
+    rows = [(1, "Home | About | Contact us\n\nown\n}"), (2, "home | about | contact us \n\n}\n目次"), (3, "Home | About | Contact us.\nelse\n目次")]
+    got = fuzzy_lines.fuzzy_line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), least=1).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == {1: [], 2: [0, 2], 3: [0, 2]}
