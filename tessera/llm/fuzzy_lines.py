@@ -213,8 +213,7 @@ def fuzzy_line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all its columns, with the removed lines taken out of ``text_col``.
 
-    A row that loses half of its characters or more and keeps no line of
-    MIN_CHARS is a copy of what stays elsewhere, and goes.
+    A row that loses lines and keeps none but blank ones goes: all it says stays elsewhere.
     """
     docs = with_row(df, id_col, text_col)
     removed = repeated_lines(docs, 1).select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))
@@ -222,6 +221,6 @@ def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str
     both = df.join(removed, F.xxhash64(F.col(id_col).cast("long"), text) == F.col("__row"), "left")
     both = both.withColumn("__left", F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("__removed", i)))
     left = F.array_join("__left", "\n")
-    bare = ~F.exists("__left", lambda line: F.char_length(F.trim(line)) >= MIN_CHARS) & (2 * F.char_length(left) <= F.char_length(text_col))
+    bare = ~F.exists("__left", lambda line: line.rlike(f"[^{EDGE}]"))
     both = both.where(F.col("__removed").isNull() | ~bare)
     return both.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(left)).select(*df.columns)

@@ -388,3 +388,10 @@ def test_short_lines(spark):
     rows = [(1, "Home | About | Contact us\n\nown\n}"), (2, "home | about | contact us \n\n}\n目次"), (3, "Home | About | Contact us.\nelse\n目次")]
     got = fuzzy_lines.fuzzy_line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), least=1).collect()
     assert {r["doc_id"]: r["removed"] for r in got} == {1: [], 2: [0, 2], 3: [0, 2]}
+
+
+def test_own_short_text_under_a_shared_header_stays(spark):
+    header = "Licensed under the terms of the example licence, version two, without any warranty."
+    rows = [(1, f"{header}\nint a;"), (2, f"{header}\nint b;"), (3, f"{header}\n \t"), (4, f"{header}\nint a;")]
+    left = fuzzy_lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {1: f"{header}\nint a;", 2: "int b;"}
