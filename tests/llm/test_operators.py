@@ -395,3 +395,11 @@ def test_own_short_text_under_a_shared_header_stays(spark):
     rows = [(1, f"{header}\nint a;"), (2, f"{header}\nint b;"), (3, f"{header}\n \t"), (4, f"{header}\nint a;")]
     left = fuzzy_lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: r["text"] for r in left.collect()} == {1: f"{header}\nint a;", 2: "int b;"}
+
+
+def test_secret_of_letters_and_secret_before_its_word():
+    value = "kXvQjmZqaLwpVbTrYzNceHgF"
+    for text in (f"the password is {value} here", f"{value} is the token", f"{'a ' * 20}x{value} {'b ' * 20} password"):
+        [(start, _, end)] = secrets.Scanner().novel(text)
+        assert value in text[start:end] and end - start <= len(value) + 1
+    assert secrets.Scanner().novel(f"{value} {'b ' * 40} password") == []
