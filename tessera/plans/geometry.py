@@ -177,4 +177,4 @@ def j21_assignment(spark, sf_dir):
 def n04_coco_match(spark, sf_dir):
     b = _flat(boxes(spark, sf_dir)).drop("box")
     gt = b.where("id % 2 = 0").withColumnRenamed("id", "gt_id").withColumn("ignored", F.col("gt_id") % 10 == 0)
-    return match.coco_match(gt, b.where("id % 2 = 1").withColumnRenamed("id", "dt_id"), ["brand"], [0.1, 0.3, 0.5])
+    return match.coco_match(gt, b.where("id % 2 = 1").withColumnRenamed("id", "dt_id"), ["brand"], [0.1, 0.3, 0.5], max_dets=None)

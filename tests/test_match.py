@@ -62,3 +62,11 @@ def test_average_precision(spark):
     n = spark.createDataFrame([("c", 2)], "cls string, n long")
     expected = (51 * 1.0 + 50 * (2 / 3)) / 101
     assert abs(metrics.average_precision(d, n, ["cls"]).first()["ap"] - expected) < 1e-9
+
+
+def test_all_detections_of_a_key_that_is_no_image(spark):
+    rows = [(1, k, 20.0 * k, 0.0, 20.0 * k + 10, 10.0, 1.0 / (k + 1)) for k in range(150)]
+    d = spark.createDataFrame(rows, "k long, dt_id long, x0 double, y0 double, x1 double, y1 double, score double")
+    g = spark.createDataFrame([(*r[:6], False) for r in rows], "k long, gt_id long, x0 double, y0 double, x1 double, y1 double, ignored boolean")
+    assert match.coco_match(g, d, ["k"], [0.5], max_dets=None).where("matched").count() == 150
+    assert match.coco_match(g, d, ["k"], [0.5]).count() == 100
