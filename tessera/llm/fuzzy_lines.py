@@ -18,16 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkeys as K
-from .neardup import near_links, parity_marks, shared_buckets
+from .neardup import Content, near_links, shared_buckets
 from .storage import materialize
 
 CHARS = 8
 SIMILARITY = 0.8
 #: A signature is HASHES one-permutation sketches of BINS minima each, cut into bands of ROWS.
-HASHES, BINS, ROWS = 2, 20, 4
+HASHES, BINS, ROWS = 2, 12, 3
 BANDS = HASHES * BINS // ROWS
-#: Leaders of a bucket in each round.
-LEADERS = (1, 2, 2)
 #: The default of the least length of a line; the query and the pipeline take every line that isn't blank.
 MIN_CHARS = 40
 #: What stands at a line's ends without being part of it; ASCII letters count in lower case.
@@ -98,14 +96,17 @@ def shingle_set(line: str) -> set[str]:
     return {line[i : i + CHARS] for i in range(len(line) - CHARS + 1)}
 
 
-def shingle_tokens(line: str) -> np.ndarray:
-    """64-bit keys of the line's distinct shingles, sorted."""
-    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    n = len(points) - CHARS + 1
-    h = np.zeros(max(n, 0), dtype=np.uint64)
-    for k in range(CHARS if n > 0 else 0):
-        h = K.mix(h * K.U64(0x9E3779B97F4A7C15) + points[k : k + n] + K.U64(1))
-    return np.unique(h).view(np.int64)
+def shingle_tokens(lines: list[str]) -> list[np.ndarray]:
+    """64-bit keys of each line's distinct shingles, sorted."""
+    out = []
+    for line in lines:
+        points = np.frombuffer(lower_ascii(line).strip(EDGE).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+        n = len(points) - CHARS + 1
+        h = np.zeros(max(n, 0), dtype=np.uint64)
+        for k in range(CHARS if n > 0 else 0):
+            h = K.mix(h * K.U64(0x9E3779B97F4A7C15) + points[k : k + n] + K.U64(1))
+        out.append(np.unique(h))
+    return out
 
 
 def jaccard(a: set[str], b: set[str]) -> float:
@@ -147,8 +148,8 @@ def line_bands(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row long, line_no int, id long, n int, bands array<int>")
 
 
-def verifier(docs: DataFrame, lines: DataFrame, live: DataFrame):
-    """Two functions: one keeps the roots of the pairs of lines whose exact Jaccard similarity is high enough, one gives the shingles of ids. The lines in question are gathered once."""
+def content_of(docs: DataFrame, lines: DataFrame, live: DataFrame) -> Content:
+    """The lines in question, gathered once, and how they are compared, by exact Jaccard similarity."""
     wanted = live.select("id").distinct()
     first = lines.join(wanted, "id").groupBy("id").agg(F.min(F.struct("row", "line_no")).alias("p"))
     places = first.groupBy(F.col("p.row").alias("row")).agg(F.collect_list(F.struct("id", F.col("p.line_no").alias("no"))).alias("at"))
@@ -170,23 +171,15 @@ def verifier(docs: DataFrame, lines: DataFrame, live: DataFrame):
         y = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("ra", "rb", "x", "y").mapInArrow(run, "ra long, rb long")
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ts = [shingle_tokens(lower_ascii(line).strip(EDGE)) for line in batch.column("line").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(t) for t in ts], pa.int64()), pa.array(ts, pa.list_(pa.int64())), pa.array([parity_marks(t) for t in ts], pa.list_(pa.int64()))], names=["id", "size", "tokens", "marks"])
-
-    def profile(ids: DataFrame) -> DataFrame:
-        return texts.join(ids, "id", "left_semi").mapInArrow(tokens, "id long, size long, tokens array<long>, marks array<long>")
-
-    return verify, profile
+    return Content(texts.withColumnRenamed("line", "text"), shingle_tokens, None, verify, False)
 
 
 def repeated_lines(docs: DataFrame, least: int) -> DataFrame:
     """``row, removed`` (sorted line numbers from 0) of the documents of ``with_row`` that lose a line."""
     lines = materialize(line_bands(docs, least), "signatures")
-    one = F.posexplode("bands").alias("band", "key")
-    live = shared_buckets(lines.select("id", F.col("n").cast("long").alias("n"), one).select(F.shiftleft(F.col("key").cast("long"), 4).bitwiseOR(F.col("band").cast("long")).alias("bucket"), "id", "n"))
-    near = near_links(live, SIMILARITY, *verifier(docs, lines, live), 4, LEADERS)
+    entries = lines.select("id", F.col("n").cast("long").alias("n"), F.transform("bands", lambda key, band: F.shiftleft(key.cast("long"), 4).bitwiseOR(band.cast("long"))).alias("entries"))
+    live = shared_buckets(entries.select(F.explode("entries").alias("bucket"), "id", "n"))
+    near = near_links(live, entries.select("id", "entries"), SIMILARITY, content_of(docs, lines, live), 4)
     classed = lines.select("doc_id", "row", "line_no", "id").join(near, "id", "left").withColumn("class", F.coalesce("root", "id")).drop("root")
     place = F.struct("doc_id", "row", "line_no")
     firsts = classed.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("class", "first")

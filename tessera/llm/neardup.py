@@ -1,35 +1,52 @@
-"""Links between near-duplicates from sketch buckets.
-
-A few rounds compare a bucket's members with its leaders, and only across
-components: what is already connected needs no further link. Two leaders meet
-all pairs of a bucket of three. What larger buckets leave is met by an exact
-join: similar sets share one of their rarest elements (prefix filter), and the
-holders of an element are paired in blocks, across components only.
+"""Links between near-duplicates from sketch buckets, with no cap on a bucket's members.
+
+Two cheap rounds compare a bucket's members with its leaders, and only across
+components: the bulk of a large group is joined at a cost linear in its size,
+and two leaders meet all pairs of a bucket of three. Larger buckets that still
+hold several components are then compared whole: their members are dealt into
+blocks of bounded size, pairs of blocks into tasks, and a task counts the
+elements that sets share by a product of their incidence matrices. Only the
+commonest component of a bucket is not compared with itself, as its members
+are joined already. A pair that shares several buckets is compared in the
+first of them alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .storage import materialize
 
-#: Most buckets sent to all executors; beyond, members and buckets are both dealt by bucket.
+#: Most buckets sent to all executors (8 bytes each); beyond, members and buckets are both dealt by bucket.
 BROADCAST_BUCKETS = 1_000_000
-#: Holders of an element in one block; blocks are paired with each other in tasks of their own.
-BLOCK = 256
-#: 64-bit words of a set's parity marks.
-MARKS = 4
+#: Members of a block and elements of their sets together, in the mean; elements that a task reads, in the mean.
+BLOCK_ROWS, BLOCK_SIZE, TASK_SIZE = 256, 1 << 19, 1 << 21
+#: Columns of an incidence matrix that are multiplied at once.
+COLUMNS = 4096
+
+
+@dataclass(frozen=True)
+class Content:
+    """What is compared: ``texts(id, text)`` on Spark, their sets of distinct 64-bit elements, and a test of two sets that share enough.
 
+    ``verify`` gives the roots ``ra, rb`` of those rows of ``pairs(a, b, ra,
+    rb)`` whose ids are similar. ``sized``: an id's ``n`` is exactly the size of
+    its set, and sets of a similarity of at least the floor differ in size by
+    that factor at most.
+    """
 
-def parity_marks(tokens: np.ndarray) -> np.ndarray:
-    """Bits that are the parity of the tokens dealt to them: two sets differ in at least as many tokens as bits."""
-    odd = np.bincount((tokens.view(np.uint64) >> np.uint64(20)) % np.uint64(64 * MARKS), minlength=64 * MARKS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    texts: DataFrame
+    sets: Callable[[list[str]], list[np.ndarray]]
+    test: Callable[[np.ndarray, np.ndarray], bool] | None
+    verify: Callable[[DataFrame], DataFrame]
+    sized: bool
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -40,78 +57,134 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return materialize(rows.join(many, "bucket", "left_semi").distinct(), "live")
 
 
-def rest_pairs(members: DataFrame, floor: float, profile: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``a, b, ra, rb``: a superset of the pairs of ``members(id, root)`` of different roots and a similarity of at least ``floor``.
-
-    Elements that only one root holds come first in the order of elements, then
-    rarer ones. A set that shares ``floor`` of its elements with another shares
-    one of the first ``size - ceil(floor * size) + 1``.
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of ``sets`` share: products of incidence matrices over the elements that two or more hold."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    number, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    column = np.cumsum(often > 1) - 1
+    held = often[number] > 1
+    owner, number = owner[held], column[number[held]]
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    counts = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    width = int(number[-1]) + 1 if len(number) else 0
+    for at in range(0, width, COLUMNS):
+        a, b = np.searchsorted(number, [at, at + COLUMNS])
+        part = np.zeros((len(sets), min(COLUMNS, width - at)), dtype=np.float32)
+        part[owner[a:b], number[a:b] - at] = 1
+        counts += part @ part.T
+    return counts
+
+
+def compare_cell(sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray, entries: list[np.ndarray], bucket: int, floor: float, test: Callable[[np.ndarray, np.ndarray], bool] | None) -> list[tuple[int, int]]:
+    """Links between roots that join what is similar in a cell: members of two blocks, or of one (``side`` all equal)."""
+    apart = roots[:, None] != roots[None]
+    apart &= (side[:, None] < side[None]) if side.min() < side.max() else np.triu(np.ones(apart.shape, dtype=bool), 1)
+    width = max(map(len, entries))
+    grid = np.arange(len(entries) * width, dtype=np.int64).reshape(-1, width)  # missing entries equal none
+    for i, e in enumerate(entries):
+        grid[i, : len(e)] = e
+    for k in range(int(np.flatnonzero(grid[0] == bucket)[0])):
+        apart &= grid[:, k, None] != grid[None, :, k]
+    if not apart.any():
+        return []
+    sizes = np.array([len(s) for s in sets])
+    need = floor / (1 + floor) * (sizes[:, None] + sizes[None]) - 1e-6
+    apart &= np.minimum(sizes[:, None], sizes[None]) >= need
+    if not apart.any():
+        return []
+    apart &= shared_counts(sets) >= need
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    links = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(apart)), strict=True):
+        a, b = find(int(roots[i])), find(int(roots[j]))
+        if a != b and (test is None or test(sets[i], sets[j])):
+            parent[max(a, b)] = min(a, b)
+            links.append((int(roots[i]), int(roots[j])))
+    return links
+
+
+def block_links(open_: DataFrame, entries: DataFrame, floor: float, content: Content) -> DataFrame:
+    """``ra, rb``: links between the roots of all similar pairs that share a bucket of ``open_(bucket, id, n, root)``.
+
+    ``entries(id, entries)`` has the buckets of each id in one fixed order.
     """
-    known = materialize(profile(members.select("id")).join(members, "id"), "profiles")
-    roots = (F.min("root").alias("least"), F.max("root").alias("most"))
-    each = known.select("id", "root", F.explode("tokens").alias("token"))
-    shared = each.groupBy("token").agg(F.count("*").alias("often"), *roots).where("least <> most").select("token", "often")
-    ranked = each.join(shared, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("ts"))
-    taken = F.col("size") - F.ceil(floor * F.col("size") - 1e-9) + 1 - (F.col("size") - F.size("ts"))
-    first = known.drop("tokens").join(ranked, "id").withColumn("taken", taken.cast("int")).where("taken > 0")
-    at = materialize(first.withColumn("t", F.explode(F.slice("ts", 1, F.col("taken")))).withColumn("token", F.col("t.token")).drop("ts", "taken", "t"), "prefixes")
-    held = at.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), *roots).where("least <> most").select("token", "blocks")
-    dealt = at.join(held, "token").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
-    x = dealt.select("token", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("size").alias("nx"), F.col("marks").alias("mx"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
-    y = dealt.select("token", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("size").alias("ny"), F.col("marks").alias("my"), F.col("own").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("i"))
-    apart = sum((F.bit_count(F.col("mx")[k].bitwiseXOR(F.col("my")[k])) for k in range(MARKS)), F.lit(0))
-    fit = (F.least("nx", "ny") >= floor * F.greatest("nx", "ny") - 1e-9) & (apart <= (1 - floor) / (1 + floor) * (F.col("nx") + F.col("ny")) + 1e-9)
-    met = x.join(y, ["token", "i", "j"]).where((F.col("rx") != F.col("ry")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y"))) & fit)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("rx", "ry").alias("ra"), F.greatest("rx", "ry").alias("rb")).dropDuplicates(["a", "b"])
-
-
-def near_links(live: DataFrame, floor: float, verify: Callable[[DataFrame], DataFrame], profile: Callable[[DataFrame], DataFrame], first_share: int, leaders: tuple[int, ...]) -> DataFrame:
+    weight = open_.select("id", "root").distinct().groupBy("root").agg(F.count("*").alias("weight"))
+    main = open_.join(weight, "root").groupBy("bucket").agg(F.max(F.struct("weight", "root"))["root"].alias("main"))
+    held = open_.join(main, "bucket").withColumn("is_main", F.col("root") == F.col("main"))
+    of = lambda main: F.greatest(F.ceil(F.sum(F.when(F.col("is_main") == main, 1).otherwise(0)) / BLOCK_ROWS), F.ceil(F.sum(F.when(F.col("is_main") == main, F.col("n")).otherwise(0)) / BLOCK_SIZE))
+    blocks = held.groupBy("bucket").agg(of(True).cast("int").alias("mains"), of(False).cast("int").alias("rests"))
+    dealt = held.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
+    dealt = dealt.withColumn("own", F.col("own") + F.when(F.col("is_main"), F.col("rests")).otherwise(0))
+    last = F.col("rests") - 1 + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
+    other = F.explode(F.sequence(F.lit(0), last)).alias("other")
+    cells = materialize(dealt.select("bucket", "id", "n", "root", "own", other).select("bucket", "id", "n", "root", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")), "cells")
+    size = cells.agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, -(-size // TASK_SIZE))
+    keyed = cells.withColumn("task", F.pmod(F.xxhash64("bucket", "lo", "hi"), F.lit(tasks)))
+    known = entries.join(cells.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    full = keyed.join(known, "id").join(content.texts, "id").select("task", "bucket", "lo", "hi", "own", "id", "root", "entries", "text")
+    sets_of, test = content.sets, content.test
+
+    def compare(task: pd.DataFrame) -> pd.DataFrame:
+        once = task.drop_duplicates("id")
+        sets = dict(zip(once["id"].tolist(), sets_of(once["text"].tolist()), strict=True))
+        links: list[tuple[int, int]] = []
+        for (bucket, _, _), cell in task.sort_values("id", kind="stable").groupby(["bucket", "lo", "hi"], sort=True):
+            if cell["root"].nunique() > 1:
+                links += compare_cell([sets[i] for i in cell["id"]], cell["root"].to_numpy(), cell["own"].to_numpy(), cell["entries"].tolist(), bucket, floor, test)
+        return pd.DataFrame(sorted(set(links)), columns=["ra", "rb"], dtype="int64")
+
+    return full.groupBy("task").applyInPandas(compare, "ra long, rb long")
+
+
+def near_links(live: DataFrame, entries: DataFrame, floor: float, content: Content, first_share: int) -> DataFrame:
     """``id, root`` of every id with a verified link.
 
-    ``verify`` gives the roots ``ra, rb`` of those rows of ``pairs(a, b, ra,
-    rb)`` whose ids ``a`` and ``b`` are similar. ``n`` is the size of an id's
-    set: sets of a similarity of at least ``floor`` differ in size by that
-    factor at most. ``leaders`` has their number in each round, the
-    ends of one order of the bucket or of two. The first round takes one bucket in
-    ``first_share``: it joins the bulk of a large group at little cost.
-    ``profile`` gives ``id, size, tokens, marks`` of ids: the distinct elements
-    of their sets, how many, and their parity marks. With it, the ids of
-    buckets that still hold several components are joined exactly.
+    The first round takes one bucket in ``first_share`` and one leader, the
+    second every bucket and two leaders, the ends of an order of their
+    components. What buckets of over three members still hold apart is
+    compared in blocks.
     """
     tested, roots = None, None
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def merged(links: DataFrame) -> DataFrame:
         # Links join the components known so far: what was connected stays, under the new root.
-        merged = components(verify(pairs).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        found = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         if roots is None:
-            return merged
-        moved = merged.select(F.col("id").alias("was"), F.col("root").alias("now"))
+            return found
+        moved = found.select(F.col("id").alias("was"), F.col("root").alias("now"))
         renamed = roots.join(moved, F.col("root") == F.col("was"), "left").select("id", F.coalesce("now", "root").alias("root"))
-        return materialize(renamed.unionAll(merged.join(roots.select("id"), "id", "left_anti")), "roots")
+        return materialize(renamed.unionAll(found.join(roots.select("id"), "id", "left_anti")), "roots")
 
-    for turn, number in enumerate(leaders):
-        if roots is None:
-            named = live.where(F.pmod("bucket", F.lit(first_share)) == 0).withColumn("root", F.col("id"))
-        else:
-            named = live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        orders = [F.struct((F.xxhash64("root", F.lit(turn + 100 * k)) if turn else F.col("root")).alias("h"), "root", "id", "n") for k in range(1 + (number > 2))]
-        ends = [f(o).alias(f"l{k}") for k, (f, o) in enumerate([(f, o) for o in orders for f in (F.min, F.max)][:number])]
+    def opened(live: DataFrame) -> DataFrame:
+        return live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+    for turn, number in enumerate((1, 2)):
+        named = opened(live) if turn else live.where(F.pmod("bucket", F.lit(first_share)) == 0).withColumn("root", F.col("id"))
+        order = F.struct((F.xxhash64("root") if turn else F.col("root")).alias("h"), "root", "id", "n")
+        ends = [f(order).alias(f"l{k}") for k, f in enumerate((F.min, F.max)[:number])]
         lead = named.groupBy("bucket").agg(*ends, F.max("root").alias("most"), F.min("root").alias("least"), F.count("*").alias("members")).where("least <> most").drop("most", "least")
         met = named.join(lead, "bucket")
         if turn:
             met = materialize(met, "open")
             live = met.where("members > 3").select("bucket", "id", "n")
         met = met.withColumn("l", F.explode(F.array(*(f"l{k}" for k in range(number))))).where("root <> l.root")
-        fit = F.least("n", "l.n") >= floor * F.greatest("n", "l.n") - 1e-9
+        fit = F.least("n", "l.n") >= floor * F.greatest("n", "l.n") - 1e-9 if content.sized else F.lit(True)
         pairs = met.where(fit).select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"), F.least("root", "l.root").alias("ra"), F.greatest("root", "l.root").alias("rb")).dropDuplicates(["a", "b"])
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionAll(pairs.select("a", "b"))
-        roots = linked(pairs)
-    named = live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        tested = pairs.select("a", "b")
+        roots = merged(content.verify(pairs))
+    named = opened(live)
     several = named.groupBy("bucket").agg(F.max("root").alias("most"), F.min("root").alias("least")).where("least <> most").select("bucket")
-    members = materialize(named.join(several, "bucket", "left_semi").select("id", "root").distinct(), "members")
-    if members.isEmpty():
-        return roots
-    return linked(materialize(rest_pairs(members, floor, profile).join(tested, ["a", "b"], "left_anti"), "rest"))
+    rest = materialize(named.join(several, "bucket", "left_semi"), "rest")
+    return roots if rest.isEmpty() else merged(materialize(block_links(rest, entries, floor, content), "links"))

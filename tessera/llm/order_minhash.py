@@ -20,15 +20,13 @@ from pyspark.sql import functions as F
 
 from . import textkeys as K
 from .components import components
-from .neardup import near_links, parity_marks, shared_buckets
+from .neardup import Content, near_links, shared_buckets
 from .storage import materialize, text_or_empty
 
 WORDS = 5
 SIMILARITY = 0.8
 ENTRIES = 32
 TAKEN = 3
-#: Leaders of a bucket in each round.
-LEADERS = (1, 2, 4)
 _ODD = np.random.default_rng(5).integers(1, 2**63, ENTRIES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -101,9 +99,23 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, same binary, buckets array<long>")
 
 
-def verifier(docs: DataFrame, live: DataFrame):
-    """Two functions: one keeps the roots of the pairs whose texts align, one gives the shingles of ids. The texts in question are gathered once."""
-    texts = materialize(docs.join(live.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+def shingle_lists(texts: list[str]) -> list[np.ndarray]:
+    """The occurrence-labelled shingle keys of each text, in text order."""
+    out: list[np.ndarray] = []
+    for _, data, offsets in K.pieces(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"]), "text"):
+        _, _, keys, at = shingled(data, offsets)
+        out += [keys[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    return out
+
+
+def aligned(x: np.ndarray, y: np.ndarray) -> bool:
+    return aligned_similarity(x, y) >= SIMILARITY
+
+
+def content_of(docs: DataFrame, live: DataFrame) -> Content:
+    """The texts in question, gathered once, and how they are compared. A leader of many pairs is a skewed key of the join with its text, which adaptive execution splits."""
+    held = docs.join(live.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = materialize(held.select(F.col("doc_id").alias("id"), "text"), "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, np.ndarray] = {}
@@ -112,32 +124,20 @@ def verifier(docs: DataFrame, live: DataFrame):
             if text not in kept:
                 if len(kept) > 64:
                     kept.clear()
-                data = np.frombuffer(text.encode(), dtype=np.uint8)
-                kept[text] = shingled(data, np.array([0, len(data)]))[2]
+                kept[text] = shingle_lists([text])[0]
             return kept[text]
 
         for batch in batches:
             pairs = zip(batch.column("x"), batch.column("y"), strict=True)
-            good = [aligned_similarity(keys_of(x.as_py()), keys_of(y.as_py())) >= SIMILARITY for x, y in pairs]
+            good = [aligned(keys_of(x.as_py()), keys_of(y.as_py())) for x, y in pairs]
             yield batch.select(["ra", "rb"]).filter(pa.array(good, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        x = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
-        y = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
+        x = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
+        y = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("ra", "rb", "x", "y").mapInArrow(run, "ra long, rb long")
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in K.pieces(batch, "text"):
-                _, _, keys, at = shingled(data, offsets)
-                ts = [keys[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(ts, pa.list_(pa.int64())), pa.array([parity_marks(t) for t in ts], pa.list_(pa.int64()))], names=["id", "size", "tokens", "marks"])
-
-    def profile(ids: DataFrame) -> DataFrame:
-        wanted = texts.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        return wanted.select("doc_id", "text").mapInArrow(tokens, "id long, size long, tokens array<long>, marks array<long>")
-
-    return verify, profile
+    return Content(texts, shingle_lists, aligned, verify, True)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,7 +155,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = materialize(usable.select("doc_id", "same").join(reps, "same").select("doc_id", "rep_id"), "member")
     alone = known.join(member.select(F.col("rep_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     live = shared_buckets(alone.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("id"), "n"))
-    near = near_links(live, SIMILARITY, *verifier(docs, live), 8, LEADERS)
+    entries = alone.select(F.col("doc_id").alias("id"), F.col("buckets").alias("entries"))
+    near = near_links(live, entries, SIMILARITY, content_of(docs, live), 8)
     # A document that stands twice with different texts ties its representatives together.
     ties = member.groupBy("doc_id").agg(F.min("rep_id").alias("a"), F.max("rep_id").alias("b")).where("a <> b").select(F.col("a").alias("id"), F.col("b").alias("root"))
     if not ties.isEmpty():

@@ -364,7 +364,7 @@ def test_chat(spark):
 
 def test_inner_member_of_a_large_component(spark, monkeypatch):
     # 60 sets in a chain, each similar to its neighbours only, and strays that are similar to one inner member each; all share one bucket
-    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 8)
 
     def near(x, y):
         return len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])
@@ -372,15 +372,15 @@ def test_inner_member_of_a_large_component(spark, monkeypatch):
     sets = {k: set(range(10 * k, 10 * k + 100)) for k in range(60)}
     for k in range(60, 70):
         sets[k] = (sets[5 * (k - 60) + 3] - {50 * (k - 60) + 80}) | {10_000 + k}
-    schema = "id long, size long, tokens array<long>, marks array<long>"
-    tokens = {k: np.array(sorted(s), dtype=np.int64) * 0x9E3779B97F4A7 for k, s in sets.items()}
-    known = spark.createDataFrame([(k, len(t), t.tolist(), neardup.parity_marks(t).tolist()) for k, t in tokens.items()], schema)
+    texts = spark.createDataFrame([(k, " ".join(map(str, sorted(s)))) for k, s in sets.items()], "id long, text string")
+    entries = spark.createDataFrame([(k, [8]) for k in sets], "id long, entries array<long>")
     live = spark.createDataFrame([(8, k, 100) for k in sets], "bucket long, id long, n long")
 
     def verify(pairs):
         return spark.createDataFrame([(r["ra"], r["rb"]) for r in pairs.collect() if near(r["a"], r["b"])], "ra long, rb long")
 
-    got = {r["id"]: r["root"] for r in neardup.near_links(live, 0.8, verify, lambda ids: known.join(ids, "id", "left_semi"), 1, (1, 2, 2)).collect()}
+    content = neardup.Content(texts, lambda ts: [np.array(t.split(), dtype=np.uint64) for t in ts], None, verify, True)
+    got = {r["id"]: r["root"] for r in neardup.near_links(live, entries, 0.8, content, 1).collect()}
     assert got == groups([(x, y) for x, y in itertools.combinations(sets, 2) if near(x, y)], sets)
 
 
