@@ -32,6 +32,7 @@ MIN_CHARS = 40
 EDGE = " \t\r\x0b\x0c"
 _RANDOM = np.random.default_rng(9)
 _CHAR = _RANDOM.integers(0, 2**31, CHARS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_CHAR64 = _RANDOM.integers(0, 2**63, CHARS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TIMES = _RANDOM.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _NONE = np.uint32(0xFFFFFFFF)
 
@@ -98,15 +99,14 @@ def shingle_set(line: str) -> set[str]:
 
 def shingle_tokens(lines: list[str]) -> list[np.ndarray]:
     """64-bit keys of each line's distinct shingles, sorted."""
-    out = []
-    for line in lines:
-        points = np.frombuffer(lower_ascii(line).strip(EDGE).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-        n = len(points) - CHARS + 1
-        h = np.zeros(max(n, 0), dtype=np.uint64)
-        for k in range(CHARS if n > 0 else 0):
-            h = K.mix(h * K.U64(0x9E3779B97F4A7C15) + points[k : k + n] + K.U64(1))
-        out.append(np.unique(h))
-    return out
+    lines = [lower_ascii(x).strip(EDGE) for x in lines]
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    h = np.zeros(max(len(points) - CHARS + 1, 0), dtype=np.uint64)
+    for k in range(CHARS if len(h) else 0):
+        h += points[k : k + len(h)] * _CHAR64[k]
+    h = K.mix(h)
+    ends = np.cumsum([len(x) for x in lines])
+    return [np.unique(h[b - len(x) : max(b - CHARS + 1, b - len(x))]) for x, b in zip(lines, ends.tolist(), strict=True)]
 
 
 def jaccard(a: set[str], b: set[str]) -> float:
@@ -163,7 +163,9 @@ def content_of(docs: DataFrame, lines: DataFrame, live: DataFrame) -> Content:
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 if x != last:
                     last, of_last = x, shingle_set(lower_ascii(x).strip(EDGE))
-                good.append(jaccard(of_last, shingle_set(lower_ascii(y).strip(EDGE))) >= SIMILARITY)
+                y = lower_ascii(y).strip(EDGE)
+                # A set has no more shingles than its line has places for them.
+                good.append(len(y) - CHARS + 1 >= SIMILARITY * len(of_last) and jaccard(of_last, shingle_set(y)) >= SIMILARITY)
             yield batch.select(["ra", "rb"]).filter(pa.array(good, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ first of them alone.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -76,24 +76,25 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def compare_cell(sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray, entries: list[np.ndarray], bucket: int, floor: float, test: Callable[[np.ndarray, np.ndarray], bool] | None) -> list[tuple[int, int]]:
-    """Links between roots that join what is similar in a cell: members of two blocks, or of one (``side`` all equal)."""
+def unmet(roots: np.ndarray, side: np.ndarray, grid: np.ndarray, bucket: int) -> np.ndarray:
+    """The pairs to compare in a cell, members of two blocks or of one (``side`` all equal): of different roots, and with no earlier bucket in common."""
     apart = roots[:, None] != roots[None]
     apart &= (side[:, None] < side[None]) if side.min() < side.max() else np.triu(np.ones(apart.shape, dtype=bool), 1)
-    width = max(map(len, entries))
-    grid = np.arange(len(entries) * width, dtype=np.int64).reshape(-1, width)  # missing entries equal none
-    for i, e in enumerate(entries):
-        grid[i, : len(e)] = e
     for k in range(int(np.flatnonzero(grid[0] == bucket)[0])):
         apart &= grid[:, k, None] != grid[None, :, k]
-    if not apart.any():
-        return []
+    return apart
+
+
+def cell_links(sets: list[np.ndarray], roots: list[int], apart: np.ndarray, floor: float, test: Callable[[np.ndarray, np.ndarray], bool] | None) -> list[tuple[int, int]]:
+    """Links between roots that join what is similar among the pairs ``apart``."""
     sizes = np.array([len(s) for s in sets])
     need = floor / (1 + floor) * (sizes[:, None] + sizes[None]) - 1e-6
-    apart &= np.minimum(sizes[:, None], sizes[None]) >= need
-    if not apart.any():
+    apart = apart & (np.minimum(sizes[:, None], sizes[None]) >= need)
+    asked = apart.any(0) | apart.any(1)
+    if not asked.any():
         return []
-    apart &= shared_counts(sets) >= need
+    apart, need, at = apart[asked][:, asked], need[asked][:, asked], np.flatnonzero(asked).tolist()
+    apart = apart & (shared_counts([sets[i] for i in at]) >= need)
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -104,43 +105,60 @@ def compare_cell(sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray, en
 
     links = []
     for i, j in zip(*(x.tolist() for x in np.nonzero(apart)), strict=True):
-        a, b = find(int(roots[i])), find(int(roots[j]))
-        if a != b and (test is None or test(sets[i], sets[j])):
+        x, y = at[i], at[j]
+        a, b = find(roots[x]), find(roots[y])
+        if a != b and (test is None or test(sets[x], sets[y])):
             parent[max(a, b)] = min(a, b)
-            links.append((int(roots[i]), int(roots[j])))
+            links.append((roots[x], roots[y]))
     return links
 
 
 def block_links(open_: DataFrame, entries: DataFrame, floor: float, content: Content) -> DataFrame:
     """``ra, rb``: links between the roots of all similar pairs that share a bucket of ``open_(bucket, id, n, root)``.
 
-    ``entries(id, entries)`` has the buckets of each id in one fixed order.
+    ``entries(id, entries)`` has the buckets of each id in one fixed order. A
+    small bucket is one cell, and goes to the task of its smallest id, where
+    it meets other buckets of the same ids; of a large one, each two blocks
+    are a cell but for those of its commonest component alone.
     """
     weight = open_.select("id", "root").distinct().groupBy("root").agg(F.count("*").alias("weight"))
-    main = open_.join(weight, "root").groupBy("bucket").agg(F.max(F.struct("weight", "root"))["root"].alias("main"))
-    held = open_.join(main, "bucket").withColumn("is_main", F.col("root") == F.col("main"))
+    main = open_.join(weight, "root").groupBy("bucket").agg(F.max(F.struct("weight", "root"))["root"].alias("main"), F.min("id").alias("first"), ((F.count("*") <= BLOCK_ROWS) & (F.sum("n") <= BLOCK_SIZE)).alias("small"))
+    held = open_.join(main, "bucket").withColumn("is_main", (F.col("root") == F.col("main")) & ~F.col("small"))
     of = lambda main: F.greatest(F.ceil(F.sum(F.when(F.col("is_main") == main, 1).otherwise(0)) / BLOCK_ROWS), F.ceil(F.sum(F.when(F.col("is_main") == main, F.col("n")).otherwise(0)) / BLOCK_SIZE))
     blocks = held.groupBy("bucket").agg(of(True).cast("int").alias("mains"), of(False).cast("int").alias("rests"))
     dealt = held.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
     dealt = dealt.withColumn("own", F.col("own") + F.when(F.col("is_main"), F.col("rests")).otherwise(0))
     last = F.col("rests") - 1 + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
     other = F.explode(F.sequence(F.lit(0), last)).alias("other")
-    cells = materialize(dealt.select("bucket", "id", "n", "root", "own", other).select("bucket", "id", "n", "root", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")), "cells")
+    key = F.when(F.col("small"), F.xxhash64("first")).otherwise(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("key")
+    at = dealt.select("bucket", "id", "n", "root", "own", "first", "small", other)
+    cells = materialize(at.select("bucket", "id", "n", "root", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), key), "cells")
     size = cells.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, -(-size // TASK_SIZE))
-    keyed = cells.withColumn("task", F.pmod(F.xxhash64("bucket", "lo", "hi"), F.lit(tasks)))
     known = entries.join(cells.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    full = keyed.join(known, "id").join(content.texts, "id").select("task", "bucket", "lo", "hi", "own", "id", "root", "entries", "text")
+    full = cells.join(known, "id").join(content.texts, "id").select(F.pmod("key", F.lit(tasks)).alias("task"), "bucket", "lo", "hi", "own", "id", "root", "entries", "text")
     sets_of, test = content.sets, content.test
 
     def compare(task: pd.DataFrame) -> pd.DataFrame:
-        once = task.drop_duplicates("id")
-        sets = dict(zip(once["id"].tolist(), sets_of(once["text"].tolist()), strict=True))
-        links: list[tuple[int, int]] = []
-        for (bucket, _, _), cell in task.sort_values("id", kind="stable").groupby(["bucket", "lo", "hi"], sort=True):
-            if cell["root"].nunique() > 1:
-                links += compare_cell([sets[i] for i in cell["id"]], cell["root"].to_numpy(), cell["own"].to_numpy(), cell["entries"].tolist(), bucket, floor, test)
-        return pd.DataFrame(sorted(set(links)), columns=["ra", "rb"], dtype="int64")
+        task = task.sort_values(["bucket", "lo", "hi", "id"], kind="stable")
+        bucket, ids, roots, side = (task[c].to_numpy() for c in ("bucket", "id", "root", "own"))
+        cell = np.stack((bucket, task["lo"].to_numpy(), task["hi"].to_numpy()))
+        cuts = [*np.flatnonzero((np.diff(cell, axis=1) != 0).any(0)) + 1, len(task)]
+        width = task["entries"].map(len).max()
+        grid = np.arange(len(task) * width, dtype=np.int64).reshape(-1, width)  # missing entries equal none
+        for i, e in enumerate(task["entries"]):
+            grid[i, : len(e)] = e
+        asked = []
+        for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
+            apart = unmet(roots[a:b], side[a:b], grid[a:b], bucket[a])
+            if apart.any():
+                own = np.flatnonzero(apart.any(0) | apart.any(1))
+                asked.append((own + a, apart[own][:, own]))
+        texts = dict(zip(ids.tolist(), task["text"], strict=True))
+        wanted = list(dict.fromkeys(i for own, _ in asked for i in ids[own].tolist()))
+        sets = dict(zip(wanted, sets_of([texts[i] for i in wanted]), strict=True))
+        links = {x for own, apart in asked for x in cell_links([sets[i] for i in ids[own].tolist()], roots[own].tolist(), apart, floor, test)}
+        return pd.DataFrame(sorted(links), columns=["ra", "rb"], dtype="int64")
 
     return full.groupBy("task").applyInPandas(compare, "ra long, rb long")
 
