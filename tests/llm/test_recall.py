@@ -107,3 +107,18 @@ def test_shared_counts(n):
     want = np.array(want)
     np.fill_diagonal(want, 0)
     assert (got == want).all()
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_encoder_on_random_strings(name, spaced):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tessera.llm.encoding import PieceEncoder
+
+    path = public_tokenizers.path(name)
+    tokenizer, encoder, r = Tokenizer.from_file(path), PieceEncoder(path, spaced, max_kept=2000), random.Random(3)
+    marks = ["'s", "'", "ll", "²", "½", "٣", "é", "ǅ", "ß", "日本", "한", "_", "-", ".", ",", "...", "<|", "<|endoftext|>", "\t", " ", "　", "\r", "\n", "\n\n", " ", "  ", "😀", "İ", "K", "ﬁ", "ʰ", "\x00", "\x1c"]
+    for _ in range(6000):
+        text = "".join(r.choice(marks) if r.random() < 0.4 else "".join(r.choice("abTHEéü1") for _ in range(r.randint(1, 5))) + r.choice(["", " ", " "]) for _ in range(r.randint(1, 12)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
