@@ -2,13 +2,17 @@
 
 A plane holds one bit of every id; below it the ids stand stably parted by
 that bit. Access, counting and occurrence lookup take one rank or select a
-plane. A shard covers consecutive documents and is one row of a written table.
+plane. A plane is stored in frames, compressed one by one, each with the ranks
+of its blocks; a lookup opens one frame a plane and no other. A shard covers
+consecutive documents and is one row of a written table, as executors share no
+local files.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,84 +26,110 @@ from pyspark.sql import functions as F
 from .encoding import encoder
 from .storage import materialize, text_or_empty
 
-MAGIC = b"WVM1"
-BLOCK = 64  # bytes of a plane between two stored ranks
-_ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+MAGIC = b"WVM2"
+#: 64-bit words between two stored ranks, and in a frame.
+BLOCK, FRAME = 8, 8192
 
 
 class WaveletMatrix:
-    """Planes from the highest bit down; ``zeros[k]`` ids have a 0 in plane k."""
+    """Planes from the highest bit down; ``zeros[k]`` ids have a 0 in plane k. ``frames[k]`` are compressed, ``before[k]`` are the ones before each."""
 
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], length: int):
-        self.planes, self.zeros, self.length = planes, zeros, length
-        self._ranks: list[np.ndarray] | None = None
+    def __init__(self, frames: list[list[bytes]], before: list[list[int]], zeros: list[int], length: int):
+        self.frames, self.before, self.zeros, self.length = frames, before, zeros, length
+        self._open: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         width = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         at = ids.astype(np.uint16 if width <= 16 else np.uint32)
-        planes, zeros = [], []
+        frames, before, zeros, compress = [], [], [], zstandard.ZstdCompressor(level=1).compress
+        n_words = -(-len(ids) // (64 * BLOCK)) * BLOCK
         for bit in range(width - 1, -1, -1):
             ones = (at >> bit) & 1 == 1
-            planes.append(np.packbits(ones))
+            words = np.zeros(8 * n_words, dtype=np.uint8)
+            words[: -(-len(ids) // 8)] = np.packbits(ones, bitorder="little")
+            words = words.view("<u8")
+            sums = np.bitwise_count(words).reshape(-1, BLOCK).sum(1, dtype=np.uint32)
+            ranks = (np.cumsum(sums, dtype=np.uint32) - sums).astype("<u4")
+            cuts = range(0, n_words, FRAME)
+            frames.append([compress(ranks[c // BLOCK : (c + FRAME) // BLOCK].tobytes() + words[c : c + FRAME].tobytes()) for c in cuts])
+            before.append([int(ranks[c // BLOCK]) for c in cuts])
             low = at[~ones]
             zeros.append(len(low))
             at = np.concatenate((low, at[ones]))
-        return cls(planes, zeros, len(ids))
-
-    def decode(self) -> np.ndarray:
-        """All ids, by undoing the planes from the lowest up."""
-        width = len(self.planes)
-        at = np.zeros(self.length, dtype=np.uint16 if width <= 16 else np.uint32)
-        for bit, plane, zero in zip(range(width), reversed(self.planes), reversed(self.zeros), strict=True):
-            ones = np.unpackbits(plane, count=self.length).astype(bool)
-            up = np.empty_like(at)
-            up[~ones] = at[:zero]
-            up[ones] = at[zero:] | at.dtype.type(1 << bit)
-            at = up
-        return at
+        return cls(frames, before, zeros, len(ids))
+
+    def _frame(self, k: int, c: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ranks, words) of frame c of plane k."""
+        if (k, c) not in self._open:
+            raw = zstandard.ZstdDecompressor().decompress(self.frames[k][c])
+            cut = 4 * (len(raw) // (4 + 8 * BLOCK))
+            self._open[k, c] = np.frombuffer(raw[:cut], "<u4"), np.frombuffer(raw[cut:], "<u8")
+        return self._open[k, c]
 
     def _rank1(self, k: int, i: int) -> int:
         """Ones before position i of plane k."""
-        if self._ranks is None:
-            sums = [np.add.reduceat(_ONES[p], np.arange(0, len(p), BLOCK), dtype=np.int64) if len(p) else np.zeros(0, np.int64) for p in self.planes]
-            self._ranks = [np.concatenate(([0], np.cumsum(s))) for s in sums]
-        byte, rest = divmod(i, 8)
-        block = byte // BLOCK
-        plane = self.planes[k]
-        ones = int(self._ranks[k][block]) + int(_ONES[plane[block * BLOCK : byte]].sum(dtype=np.int64))
-        return ones + (int(_ONES[plane[byte] >> (8 - rest)]) if rest else 0)
+        if i >= self.length:
+            return self.length - self.zeros[k]
+        c, word = divmod(i // 64, FRAME)
+        ranks, words = self._frame(k, c)
+        block = word // BLOCK
+        whole = np.bitwise_count(words[block * BLOCK : word]).sum(dtype=np.int64)
+        return int(ranks[block]) + int(whole) + (int(words[word]) & ((1 << (i % 64)) - 1)).bit_count()
 
     def _select(self, k: int, bit: int, nth: int) -> int:
-        """Position of the nth (from 0) ``bit`` of plane k."""
-        low, high = 0, self.length
-        while low < high:
-            mid = (low + high) // 2
-            ones = self._rank1(k, mid + 1)
-            if (ones if bit else mid + 1 - ones) > nth:
-                high = mid
-            else:
-                low = mid + 1
-        return low
+        """Position of the nth (from 0) ``bit`` of plane k: the frame, then the block by stored ranks, then the bit in it."""
+        step = 64 * BLOCK
+        firsts = [n if bit else c * FRAME * 64 - n for c, n in enumerate(self.before[k])]
+        c = bisect_right(firsts, nth) - 1
+        ranks, words = self._frame(k, c)
+        ranks = ranks.astype(np.int64)
+        if not bit:
+            ranks = (c * FRAME * 64 + np.arange(len(ranks)) * step) - ranks
+        block = int(np.searchsorted(ranks, nth, "right")) - 1
+        bits = np.unpackbits(words[block * BLOCK : (block + 1) * BLOCK].view(np.uint8), bitorder="little")
+        return c * FRAME * 64 + block * step + int(np.flatnonzero(bits == bit)[nth - int(ranks[block])])
+
+    def _bit(self, k: int, i: int) -> int:
+        c, word = divmod(i // 64, FRAME)
+        return (int(self._frame(k, c)[1][word]) >> (i % 64)) & 1
 
     def access(self, i: int) -> int:
         value = 0
         for k, zero in enumerate(self.zeros):
-            ones = self._rank1(k, i)
-            bit = (int(self.planes[k][i // 8]) >> (7 - i % 8)) & 1
+            ones, bit = self._rank1(k, i), self._bit(k, i)
             value = 2 * value + bit
             i = zero + ones if bit else i - ones
         return value
 
+    def extract(self, start: int, end: int) -> np.ndarray:
+        """The ids of positions start..end, by one vectorised rank a plane."""
+        at = np.arange(start, end, dtype=np.int64)
+        value = np.zeros(len(at), dtype=np.uint32)
+        for k, zero in enumerate(self.zeros):
+            if not len(at):
+                break
+            parts = [self._frame(k, c) for c in range(len(self.frames[k]))]
+            ranks, words = (np.concatenate(p) for p in zip(*parts, strict=True))
+            inside = np.bitwise_count(words).reshape(-1, BLOCK)
+            of_word = (np.cumsum(inside, axis=1, dtype=np.uint32) - inside + ranks[:, None]).ravel()
+            word, shift = at >> 6, (at & 63).astype(np.uint64)
+            bits = words[word]
+            ones = of_word[word] + np.bitwise_count(bits & ((np.uint64(1) << shift) - np.uint64(1)))
+            bit = ((bits >> shift) & np.uint64(1)).astype(bool)
+            at = np.where(bit, zero + ones.astype(np.int64), at - ones)
+            value = (value << np.uint32(1)) | bit
+        return value
+
     def _range(self, token: int, start: int, end: int) -> tuple[int, int]:
         for k, zero in enumerate(self.zeros):
             a, b = self._rank1(k, start), self._rank1(k, end)
-            start, end = (zero + a, zero + b) if (token >> (len(self.planes) - 1 - k)) & 1 else (start - a, end - b)
+            start, end = (zero + a, zero + b) if (token >> (len(self.zeros) - 1 - k)) & 1 else (start - a, end - b)
         return start, end
 
     def count(self, token: int, start: int = 0, end: int | None = None) -> int:
         """How often ``token`` stands in start..end."""
-        if token >> len(self.planes) or not self.length:
+        if token >> len(self.zeros) or not self.length:
             return 0
         a, b = self._range(token, start, self.length if end is None else end)
         return b - a
@@ -109,33 +139,42 @@ class WaveletMatrix:
         if nth >= self.count(token):
             return -1
         i = self._range(token, 0, self.length)[0] + nth
-        for k in range(len(self.planes) - 1, -1, -1):
-            bit = (token >> (len(self.planes) - 1 - k)) & 1
+        for k in range(len(self.zeros) - 1, -1, -1):
+            bit = (token >> (len(self.zeros) - 1 - k)) & 1
             i = self._select(k, bit, i - self.zeros[k] if bit else i)
         return i
 
     def to_bytes(self, doc_ids: list[int | None], lengths: list[int]) -> bytes:
-        head = json.dumps({"zeros": self.zeros, "length": self.length, "docs": doc_ids, "lengths": lengths}).encode()
-        return MAGIC + zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(8, "little") + head + b"".join(p.tobytes() for p in self.planes))
+        """Magic, length of the head, the head (compressed) with each frame's size, the frames."""
+        sizes = [[len(f) for f in plane] for plane in self.frames]
+        head = {"zeros": self.zeros, "length": self.length, "before": self.before, "sizes": sizes, "docs": doc_ids, "lengths": lengths}
+        head = zstandard.ZstdCompressor(level=1).compress(json.dumps(head).encode())
+        return MAGIC + len(head).to_bytes(8, "little") + head + b"".join(f for plane in self.frames for f in plane)
 
     @classmethod
     def from_bytes(cls, blob: bytes) -> tuple[WaveletMatrix, list[int | None], list[int]]:
+        """The matrix, no frame of it opened yet, and its documents with their lengths."""
         if blob[:4] != MAGIC:
             raise ValueError("not a wavelet shard")
-        raw = zstandard.ZstdDecompressor().decompress(blob[4:])
-        at = 8 + int.from_bytes(raw[:8], "little")
-        head = json.loads(raw[8:at])
-        size = (head["length"] + 7) // 8
-        planes = [np.frombuffer(raw, np.uint8, size, at + k * size) for k in range(len(head["zeros"]))]
-        return cls(planes, head["zeros"], head["length"]), head["docs"], head["lengths"]
+        at = 12 + int.from_bytes(blob[4:12], "little")
+        head = json.loads(zstandard.ZstdDecompressor().decompress(blob[12:at]))
+        frames: list[list[bytes]] = []
+        for plane in head["sizes"]:
+            frames.append([])
+            for size in plane:
+                frames[-1].append(blob[at : at + size])
+                at += size
+        return cls(frames, head["before"], head["zeros"], head["length"]), head["docs"], head["lengths"]
 
 
 def write_shards(df: DataFrame, tokenizer_path: str, end_id: int = 2, shard_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes whole texts in ascending id order and writes ``part, seq, n_tokens, shard`` (the blob), read back from the shared folder.
 
     Ranges of ids are dealt to tasks; task ``part`` closes its shard ``seq``
-    at ``shard_tokens`` ids, at a document's end. Null and empty texts are their
-    end id alone; documents with equal ids stand next to each other, by text.
+    at ``shard_tokens`` ids, at a document's end, so one very long document is
+    a shard of its own. Null and empty texts are their end id alone; documents
+    with equal ids stand next to each other, by text, null ids first. No rows
+    give no shard. Only the two named columns are read.
     """
     end = end_id.to_bytes(4, "little")
 
@@ -167,8 +206,8 @@ def write_shards(df: DataFrame, tokenizer_path: str, end_id: int = 2, shard_toke
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of each document, decoded from the shards; ``start`` counts all ids before it."""
-    # One small row a shard, some million ids each, is all that the running total sees.
+    """``doc_id, start, n_tokens, ids_crc32`` of each document, extracted by rank from the shards; ``start`` counts all ids before it."""
+    # One small row a shard is all that the running total sees: 500,000 rows for 10**12 ids.
     before = W.orderBy("of_part", "of_seq").rowsBetween(W.unboundedPreceding, -1)
     starts = shards.select(F.col("part").alias("of_part"), F.col("seq").alias("of_seq"), "n_tokens").select("of_part", "of_seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("shard_start"))
 
@@ -176,7 +215,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for blob, start in zip(batch.column("shard").to_pylist(), batch.column("shard_start").to_pylist(), strict=True):
                 matrix, docs, lengths = WaveletMatrix.from_bytes(blob)
-                ids = matrix.decode().astype("<u4")
+                ids = matrix.extract(0, matrix.length).astype("<u4")
                 ends = np.cumsum(lengths)
                 begins = ends - lengths
                 crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]

@@ -224,7 +224,9 @@ def test_wavelet(docs, empty):
     path = P.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
     shards = wavelet.write_shards(docs.where("doc_id is not null"), path, shard_tokens=500)
-    assert shards.count() > 3
+    assert shards.count() > 3 and wavelet.read_shards(wavelet.write_shards(empty, path)).count() == 0
+    unnamed = wavelet.read_shards(wavelet.write_shards(docs, path, shard_tokens=500)).orderBy("start").first()
+    assert (unnamed["doc_id"], unnamed["start"]) == (None, 0)
     rows = sorted(wavelet.read_shards(shards).collect(), key=lambda r: r["start"])
     at = 0
     for (i, t, *_), r in zip(sorted((r for r in ROWS if r[0] is not None), key=lambda r: (r[0], r[1] or "")), rows, strict=True):
@@ -234,17 +236,21 @@ def test_wavelet(docs, empty):
     assert wavelet.read_shards(wavelet.write_shards(empty, path)).count() == 0
 
 
-def test_wavelet_access_count_locate():
-    ids = np.random.default_rng(3).integers(0, 50, 3000).astype(np.uint32)
-    m, docs, lengths = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes([1], [3000]))
-    assert (m.decode() == ids).all() and docs == [1] and lengths == [3000]
-    for i in (0, 1, 7, 8, 511, 512, 2999):
-        assert m.access(i) == ids[i]
+@pytest.mark.parametrize("n", [0, 1, 512, 3000, 1_100_000])
+def test_wavelet_access_count_locate(n):
+    ids = np.random.default_rng(3).integers(0, 50, n).astype(np.uint32)
+    m, docs, lengths = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes([1], [n]))
+    assert docs == [1] and lengths == [n] and not m._open
+    if n > 1_000_000:  # one access opens one frame a plane
+        assert m.access(5) == ids[5] and len(m._open) == 6 < sum(map(len, m.frames))
+    assert (m.extract(0, n) == ids).all() and (m.extract(n // 3, n // 2) == ids[n // 3 : n // 2]).all()
+    for i in {0, 1, 7, 8, 63, 64, 511, 512, 2999, 524_287, 524_288, n - 1}:
+        assert not 0 <= i < n or m.access(i) == ids[i]
     for token in (0, 17, 49, 50, 1000):
-        assert m.count(token) == (ids == token).sum() and m.count(token, 100, 777) == (ids[100:777] == token).sum()
+        assert m.count(token) == (ids == token).sum() and m.count(token, n // 30, n // 4) == (ids[n // 30 : n // 4] == token).sum()
         places = np.flatnonzero(ids == token)
-        for k in (0, len(places) // 2, len(places) - 1, len(places)):
-            assert m.locate(token, k) == (places[k] if 0 <= k < len(places) else -1) or k < 0
+        for k in {0, 1, len(places) // 2, len(places) - 1, len(places)} - {-1}:
+            assert m.locate(token, k) == (places[k] if k < len(places) else -1)
 
 
 def brute_repeats(texts, length=200):
