@@ -208,14 +208,17 @@ def fuzzy_line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all its columns, with the removed lines taken out of ``text_col``.
 
-    A row that loses lines and keeps none but blank ones goes: all it says stays elsewhere.
+    A row that loses lines and keeps none but blank ones goes: all it says
+    stays elsewhere. Rows with equal ids and texts are one document and lose
+    the same lines. A very long line is one row's work.
     """
     docs = with_row(df, id_col, text_col)
-    removed = repeated_lines(docs, 1).select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    both = df.join(removed, F.xxhash64(F.col(id_col).cast("long"), text) == F.col("__row"), "left")
-    both = both.withColumn("__left", F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("__removed", i)))
-    left = F.array_join("__left", "\n")
-    bare = ~F.exists("__left", lambda line: line.rlike(f"[^{EDGE}]"))
-    both = both.where(F.col("__removed").isNull() | ~bare)
-    return both.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(left)).select(*df.columns)
+    # The columns travel in one struct, so that their names can't clash with those used here.
+    named = df.select(F.xxhash64(F.col(id_col).cast("long"), text).alias("row"), text.alias("text"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("kept"))
+    both = named.join(repeated_lines(docs, 1), "row", "left")
+    both = both.withColumn("left", F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("removed", i)))
+    bare = ~F.exists("left", lambda line: line.rlike(f"[^{EDGE}]"))
+    both = both.where(F.col("removed").isNull() | ~bare)
+    cut = F.when(F.col("removed").isNull(), F.col("kept")).otherwise(F.col("kept").withField(f"`{text_col}`", F.array_join("left", "\n")))
+    return both.select(cut.alias("kept")).select("kept.*")

@@ -98,8 +98,13 @@ def visit(forest: list[Tree], sizes: list[np.ndarray], query: np.ndarray, share:
         yield t, -1 - node
 
 
-def squared(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return np.maximum((queries**2).sum(1)[:, None] + (rows**2).sum(1)[None] - 2 * queries @ rows.T, 0)
+def squared(queries: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances, and for each query a bound of their rounding error; what all vectors have in common is taken off first."""
+    middle = rows.mean(0)
+    q, x = queries - middle, rows - middle
+    qq, xx = (q**2).sum(1), (x**2).sum(1)
+    error = 4 * (x.shape[1] + 4) * np.finfo(np.float64).eps * (np.sqrt(qq) + np.sqrt(xx.max(initial=0.0)) + np.sqrt(x.shape[1]) * np.abs(middle).max(initial=0.0) * np.finfo(np.float64).eps) ** 2
+    return np.maximum(qq[:, None] + xx[None] - 2 * q @ x.T, 0), error
 
 
 def tuned_share(forest: list[Tree], x: np.ndarray, k: int, target: float, n_queries: int = 200) -> float:
@@ -107,7 +112,7 @@ def tuned_share(forest: list[Tree], x: np.ndarray, k: int, target: float, n_quer
     chosen = np.linspace(0, len(x) - 1, min(n_queries, len(x))).astype(int)
     leaf = [tree.leaf_of(x) for tree in forest]
     sizes = [np.bincount(a, minlength=t.leaves) for a, t in zip(leaf, forest, strict=True)]
-    apart = squared(x[chosen], x)
+    apart = squared(x[chosen], x)[0]
     apart[np.arange(len(chosen)), chosen] = np.inf
     near = np.argsort(apart, axis=1)[:, :k]
     for share in SHARES:
@@ -175,10 +180,11 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, trees: int = 4, sample
     n_queries = queries.count()
     query_blocks = max(1, -(-n_queries // query_block))
     routed = queries.mapInArrow(route, "tree long, leaf long, block long, query_id long, q array<double>").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)))
+    routed = materialize(routed, "routes")
     leaf_count = F.element_at(F.element_at(F.array(*(F.array(*(F.lit(int(n)) for n in s)) for s in sizes)), F.col("tree").cast("int") + 1), F.col("leaf").cast("int") + 1)
     blocks = F.greatest(F.ceil(leaf_count / block_rows), F.lit(1))
-    placed = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).withColumn("qb", F.col("qb").cast("long"))
     keys = ["tree", "leaf", "block", "qb"]
+    placed = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks)).join(materialize(routed.select(keys).distinct(), "asked"), ["tree", "leaf", "block"])  # once for each block of queries that asks
 
     def rank(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
@@ -186,16 +192,12 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, trees: int = 4, sample
             x, ids = np.array(held["v"].tolist()), held["vec_id"].to_numpy()
             q, qid = np.array(asked["q"].tolist()), asked["query_id"].to_numpy()
             for at in range(0, len(q), 256):
-                near = squared(q[at : at + 256], x)
+                near, error = squared(q[at : at + 256], x)
                 near[qid[at : at + 256, None] == ids[None]] = np.inf
-                best = np.argpartition(near, min(2 * k, len(x) - 1), axis=1)[:, : 2 * k]
-                for i, cols in enumerate(best):
-                    cols = cols[ids[cols] != qid[at + i]]
+                edge = np.partition(near, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
+                for i, kept in enumerate((near <= (edge + 2 * error)[:, None]) & np.isfinite(near)):
+                    cols = np.flatnonzero(kept)  # whatever rounding could have kept out, and all ties
                     exact = np.sqrt(((x[cols] - q[at + i]) ** 2).sum(1))
-                    edge = exact.max(initial=0.0)  # ties at the edge of what is kept: the smaller ids
-                    if len(cols) == 2 * k and (np.sqrt(near[i]) <= edge + 1e-9).sum() > 2 * k:
-                        cols = np.flatnonzero((np.sqrt(near[i]) <= edge + 1e-9) & (ids != qid[at + i]))
-                        exact = np.sqrt(((x[cols] - q[at + i]) ** 2).sum(1))
                     order = np.lexsort((ids[cols], exact))[:k]
                     out.append(pd.DataFrame({"query_id": qid[at + i], "vec_id": ids[cols][order], "score": exact[order]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})

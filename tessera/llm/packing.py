@@ -82,12 +82,14 @@ def token_pieces(df: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
 def pack(pieces: DataFrame, capacity: int, group_size: int = 2000, seed: int = 7) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with ``doc_id, start, length``: no sequence exceeds ``capacity``, offsets are gapless from 0.
 
-    No rows give no rows. A null ``doc_id`` is packed like any other; equal
-    rows each get a place of their own. ``length`` must be 1 to ``capacity``.
+    ``pieces`` is a written table, so a row's number in it, which takes part
+    in the hash, is the same when a task runs again: null or repeated ids are
+    dealt as evenly as others. No rows give no rows; equal rows each get a
+    place of their own. ``length`` must be 1 to ``capacity``.
     """
     n_groups = max(1, -(-pieces.count() // group_size))
     schema = StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    grouped = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(n_groups)))
+    grouped = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id(), F.lit(seed)), F.lit(n_groups)))
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "start"], kind="stable").drop(columns="pack_group")
@@ -98,5 +100,5 @@ def pack(pieces: DataFrame, capacity: int, group_size: int = 2000, seed: int = 7
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Whole documents to packed pieces: PIECES, ``sequence_id``, ``offset`` (and ``ids``). Null and empty texts are their end id alone."""
+    """Whole documents to packed pieces: PIECES, ``sequence_id``, ``offset`` (and ``ids``). Null and empty texts are their end id alone; one very long text is one task's work, its pieces are not. Other columns are not read."""
     return pack(materialize(token_pieces(df, tokenizer_path, end_id, capacity, id_col, text_col, with_ids), "pieces"), capacity)

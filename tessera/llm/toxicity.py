@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .storage import materialize, text_or_empty
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Least letters of a term that is known by a misspelling: one edit turns shorter ones into any word.
+MISSPELT_CHARS = 4
 #: Most labelled rows that the lexicon and the model are learned from.
 SAMPLE_ROWS = 8000
 # Marks and words that show quotation.
@@ -46,17 +48,18 @@ class Lexicon:
     def __init__(self, terms: list[tuple[str, float]], max_kept: int = 400_000):
         self.root, self.max_kept = Node(), max_kept
         self.kept: dict[str, tuple[float, int]] = {}
-        self.halves: set[str] = set()
+        self.halves: dict[str, set[int]] = {}  # halves of terms, with the lengths of words one edit from those
         for term, weight in terms:
             node = self.root
             for ch in term[1:]:
                 node = node.below.setdefault(ch, Node())
             if term[0] == "=":
                 node.word = weight
-                if len(term[1:]) >= 5:
+                if len(term[1:]) >= MISSPELT_CHARS:
                     node.misspelt = weight
-                    cut = len(term[1:]) // 2
-                    self.halves |= {"<" + term[1:][:cut], ">" + term[1:][cut:]}
+                    cut, size = len(term[1:]) // 2, len(term[1:])
+                    for half in ("<" + term[1:][:cut], ">" + term[1:][cut:]):
+                        self.halves.setdefault(half, set()).update((size - 1, size, size + 1))
             else:
                 node.beginning = weight
         self.half_sizes = sorted({(h[0], len(h) - 1) for h in self.halves})
@@ -96,12 +99,12 @@ class Lexicon:
         return best
 
     def lookup(self, word: str) -> tuple[float, int]:
-        """(weight, edits): 0 edits for a term or a marked beginning, 1 for one misspelling of a term of 5 letters or more."""
+        """(weight, edits): 0 edits for a term or a marked beginning, 1 for one misspelling of a term of MISSPELT_CHARS letters or more; words of any length are looked up."""
         if (known := self.kept.get(word)) is not None:
             return known
         found = (self._exact(word), 0)
         # One edit leaves one half of the term whole: other words need no automaton.
-        if not found[0] and 4 <= len(word) <= 32 and any((("<" + word[:n]) if side == "<" else (">" + word[-n:])) in self.halves for side, n in self.half_sizes if n):
+        if not found[0] and any(len(word) in self.halves.get(("<" + word[:n]) if side == "<" else (">" + word[-n:]), ()) for side, n in self.half_sizes):
             found = (self._fuzzy(word), 1)
         if len(self.kept) >= self.max_kept:
             self.kept.clear()
@@ -188,23 +191,24 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
     return Model(terms, fit_logistic(np.array(measured["x"].tolist()), measured["y"].to_numpy()).tolist())
 
 
-def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """``doc_id, score`` (0 to 1) per row of whole texts; with ``keep`` all columns of ``df`` and ``score`` instead.
+def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, score_col: str = "score") -> DataFrame:
+    """``doc_id, score`` (0 to 1) per row of whole texts; with ``keep`` all columns of ``df`` and ``score_col`` instead, in place of one of that name.
 
     Null and empty texts get the score of a text without hits; equal texts
-    equal scores.
+    equal scores, repeated rows a row each, whatever their ids, null ones
+    included. A very long text is one row's work. No rows give no rows.
     """
     rows = df if keep else text_or_empty(df, id_col, text_col)
     text_at = df.columns.index(text_col) if keep else 1
-    schema = df.drop("score").schema.add("score", "double") if keep else "doc_id long, score double"
+    schema = df.drop(score_col).schema.add(score_col, "double") if keep else "doc_id long, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, beta = Lexicon(model.terms), np.array(model.beta)
         for batch in batches:
             x = np.array([features(t or "", lexicon) for t in batch.column(text_at).to_pylist()]).reshape(-1, N_FEATURES)
             scores = pa.array(1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30))), pa.float64())
-            held = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if (keep and n != "score") or n == "doc_id"]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in held), scores], names=[*(n for n, _ in held), "score"])
+            held = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if (keep and n != score_col) or n == "doc_id"]
+            yield pa.RecordBatch.from_arrays([*(c for _, c in held), scores], names=[*(n for n, _ in held), score_col if keep else "score"])
 
     return rows.mapInArrow(score, schema)
 

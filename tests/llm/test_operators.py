@@ -84,7 +84,7 @@ def brute_hits(texts, items, size=10):
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_decontaminate(spark, docs, empty, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     w = BASE[0].split()
     items = [(1, " ".join(w[10:25])), (2, "one two"), (3, "A"), (4, None), (5, ""), (6, " ".join(BASE[1].split()[:8])), (7, prose(30, 777)), (8, " ".join(w[3:12]) + " zzz"), (10, " ".join(w[10:25]))]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("words", F.lit(1))
@@ -320,7 +320,8 @@ def test_lexicon():
     assert lexicon.lookup("idiot") == (2.0, 0) and lexicon.lookup("loweischaft") == (3.0, 0)
     for near in ("idiott", "idot", "idxot", "xidiot"):
         assert lexicon.lookup(near) == (2.0, 1)
-    for far in ("idoit", "scumx", "ideots", "lowe"):
+    assert lexicon.lookup("scumx") == (1.0, 1)
+    for far in ("idoit", "scumxy", "ideots", "lowe"):
         assert lexicon.lookup(far)[0] == 0
     text = 'he said "you idiot" to them\nyou idiot'
     first, second = (m.start() for m in re.finditer("idiot", text))
