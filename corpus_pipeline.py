@@ -1,12 +1,15 @@
 """The corpus pipeline: toxicity, line dedup, near-dedup, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read again as the next one's docs.
+written as Parquet and read again as the next one's docs. All but the last
+return the columns of ``docs``, whatever else those hold. Null and empty texts
+pass every stage but the last, which packs their end id; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, fuzzy_lines, order_minhash, packing, toxicity
@@ -17,30 +20,55 @@ from tessera.llm.storage import materialize, table
 TOXIC = 0.3
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not among ``rejected(doc_id)``."""
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _free_name(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")), keep=True)
-    return scored.where(F.col("score") < TOXIC).select(*docs.columns)
+    """The rows whose own text scores below TOXIC; of rows with one id each is judged by itself."""
+    score = _free_name(docs, "score")
+    scored = toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")), keep=True, score_col=score)
+    return scored.where(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows without the lines that stand before, in them or in others; rows of which only blank lines are left go. ``n_chars``, if there, is counted anew."""
     left = fuzzy_lines.without_repeated_lines(docs)
-    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, order_minhash.near_duplicates(docs).where(~F.col("keep")))
+    """One document of each group of near-duplicates, that of the smallest id. Of rows with the same id one is left; null ids have no group and stay."""
+    found = order_minhash.near_duplicates(docs)
+    lost = materialize(found.where(~F.col("keep")).select("doc_id").distinct(), "lost")
+    left = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    again = materialize(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return left
+    # Only the rows of repeated ids are shuffled: one of each, by a hash of its text.
+    rest = left.join(again, "doc_id", "left_anti").select(*docs.columns)
+    twice = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(_text())).alias("row"))
+    return rest.unionByName(twice.select("row.*").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """The rows whose own text holds no window of a benchmark item; of rows with one id each is judged by itself."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    hit = found.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(hit["hit_id"]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == hit["hit_key"])
+    return docs.join(hit, same, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows' token ids in pieces, with the place of each in a sequence of 2048; repeated rows are packed each."""
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
 
 
@@ -51,6 +79,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole ``documents``, each from its predecessor's written rows."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
