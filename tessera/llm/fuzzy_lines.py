@@ -98,8 +98,19 @@ def shingle_set(line: str) -> set[str]:
 
 
 def shingle_tokens(lines: list[str]) -> list[np.ndarray]:
-    """64-bit keys of each line's distinct shingles, sorted."""
-    lines = [lower_ascii(x).strip(EDGE) for x in lines]
+    """64-bit keys of each line's distinct shingles, sorted; lines are hashed a million characters at a time."""
+    out: list[np.ndarray] = []
+    some, size = [], 0
+    for line in lines:
+        some.append(lower_ascii(line).strip(EDGE))
+        size += len(line)
+        if size >= 1 << 20:
+            out += _tokens_of(some)
+            some, size = [], 0
+    return out + _tokens_of(some)
+
+
+def _tokens_of(lines: list[str]) -> list[np.ndarray]:
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     h = np.zeros(max(len(points) - CHARS + 1, 0), dtype=np.uint64)
     for k in range(CHARS if len(h) else 0):

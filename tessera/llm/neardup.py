@@ -27,9 +27,9 @@ from .storage import materialize
 #: Most buckets sent to all executors (8 bytes each); beyond, members and buckets are both dealt by bucket.
 BROADCAST_BUCKETS = 1_000_000
 #: Members of a block and elements of their sets together, in the mean; elements that a task reads, in the mean.
-BLOCK_ROWS, BLOCK_SIZE, TASK_SIZE = 1024, 1 << 20, 1 << 22
+BLOCK_ROWS, BLOCK_SIZE, TASK_SIZE = 512, 1 << 19, 1 << 21
 #: Columns of an incidence matrix that are multiplied at once.
-COLUMNS = 4096
+COLUMNS = 2048
 
 
 @dataclass(frozen=True)

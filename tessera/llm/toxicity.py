@@ -45,7 +45,7 @@ class Node:
 class Lexicon:
     """Trie of weighted terms. ``terms``: ("=" word or "^" beginning, weight)."""
 
-    def __init__(self, terms: list[tuple[str, float]], max_kept: int = 400_000):
+    def __init__(self, terms: list[tuple[str, float]], max_kept: int = 150_000):
         self.root, self.max_kept = Node(), max_kept
         self.kept: dict[str, tuple[float, int]] = {}
         self.halves: dict[str, set[int]] = {}  # halves of terms, with the lengths of words one edit from those
