@@ -190,11 +190,15 @@ def content_of(docs: DataFrame, lines: DataFrame, live: DataFrame) -> Content:
 def repeated_lines(docs: DataFrame, least: int) -> DataFrame:
     """``row, removed`` (sorted line numbers from 0) of the documents of ``with_row`` that lose a line."""
     lines = materialize(line_bands(docs, least), "signatures")
-    entries = lines.select("id", F.col("n").cast("long").alias("n"), F.transform("bands", lambda key, band: F.shiftleft(key.cast("long"), 4).bitwiseOR(band.cast("long"))).alias("entries"))
-    live = shared_buckets(entries.select(F.explode("entries").alias("bucket"), "id", "n"))
-    near = near_links(live, entries.select("id", "entries"), SIMILARITY, content_of(docs, lines, live), 4)
+    entries = lines.select("id", F.transform("bands", lambda key, band: F.shiftleft(key.cast("long"), 4).bitwiseOR(band.cast("long"))).alias("entries"))
+    one = lines.select("id", F.col("n").cast("long").alias("n"), F.posexplode("bands").alias("band", "key"))
+    live = shared_buckets(one.select(F.shiftleft(F.col("key").cast("long"), 4).bitwiseOR(F.col("band").cast("long")).alias("bucket"), "id", "n"))
+    near = near_links(live, entries, SIMILARITY, content_of(docs, lines, live), 4)
     classed = lines.select("doc_id", "row", "line_no", "id").join(near, "id", "left").withColumn("class", F.coalesce("root", "id")).drop("root")
     place = F.struct("doc_id", "row", "line_no")
+    # Most lines stand alone: a count sends them off before anything is sorted.
+    several = classed.groupBy("class").count().where("count > 1").select("class")
+    classed = materialize(classed.join(several, "class", "left_semi"), "classed")
     firsts = classed.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("class", "first")
     lost = classed.join(firsts, "class").where(~place.eqNullSafe(F.col("first")))
     return lost.groupBy("row").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
