@@ -78,3 +78,13 @@ def filled(rows: DataFrame, parents: DataFrame, key: str, columns: list[str]) ->
 def dense_stage(rows: DataFrame, keys: list[str], stage: str, descending: bool = False) -> DataFrame:
     order = F.desc(stage) if descending else F.asc(stage)
     return rows.withColumn("stage_rank", F.dense_rank().over(W.partitionBy(*keys).orderBy(order)) - 1)
+
+
+def single(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key with ``n_rows``; a key of several rows is an error when the result is read, not a silent choice."""
+    n = F.count("*")
+    message = F.concat(F.lit("several rows of "), F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)))
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.groupBy(*keys).agg(F.any_value(F.struct(*rest)).alias("__one"), n.alias("n_rows"))
+    checked = one.withColumn("n_rows", F.when(F.col("n_rows") == 1, F.col("n_rows")).otherwise(F.raise_error(message).cast("long")))
+    return checked.select(*keys, *(F.col(f"__one.{c}") for c in rest), "n_rows")

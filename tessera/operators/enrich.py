@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.rank import global_rank
+
 ERROR = "ERROR:"
 
 
@@ -106,3 +108,10 @@ def split_valid(df: DataFrame, test: Column) -> tuple[DataFrame, DataFrame]:
 def triplets(df: DataFrame, degraded: str, original: str, text: str) -> DataFrame:
     """Input is the degraded image, output the original."""
     return df.select(F.col(degraded).alias("input_image"), F.trim(text).alias("instruction"), F.col(original).alias("output_image"))
+
+
+def write_back_by_position(rows: DataFrame, results: DataFrame, row_order: Column, result_order: Column, columns: list[str]) -> DataFrame:
+    """The i-th result beside the i-th row; rows past the last result get nulls. Both sides are numbered by range, so neither is sorted in one task."""
+    numbered = global_rank(rows, row_order, name="__i")
+    found = global_rank(results.select(*columns, result_order.alias("__by")), F.col("__by"), name="__i").drop("__by")
+    return numbered.join(found, "__i", "left").drop("__i")

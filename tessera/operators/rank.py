@@ -65,3 +65,43 @@ def stride_sample(ranked: DataFrame, every: int, k: int, rank: str = "rn") -> Da
 def neighbourhood(ranked: DataFrame, cutoff: int, width: int = 5, rank: str = "rn") -> DataFrame:
     status = F.when(F.col(rank) <= cutoff, "SELECTED").otherwise("REJECTED")
     return ranked.where(F.col(rank).between(cutoff - width, cutoff + width)).withColumn("status", status)
+
+
+def topk_of_stages(stages: list[DataFrame], keys: list[str], k: int, *order: Column, name: str = "rn") -> DataFrame:
+    """The ``k`` best rows of each key over all stages' rows together; ``stage`` is the place of a row's stage in the list."""
+    rows = None
+    for i, stage in enumerate(stages):
+        own = stage.withColumn("stage", F.lit(i))
+        rows = own if rows is None else rows.unionByName(own)
+    return top_per_group(rows, keys, k, *order, F.asc("stage"), name=name)
+
+
+def max_detections(df: DataFrame, image: list[str], score: str, inserted: str, limit: int) -> DataFrame:
+    """Each image's detections by falling score, at most ``limit``; equal scores keep the order of insertion, as a stable sort would."""
+    return top_per_group(df, image, limit, F.desc(score), F.asc(inserted))
+
+
+def wrapped_shares(df: DataFrame, workers: int, *order: Column) -> DataFrame:
+    """``index, worker`` for each row: equal shares dealt in turn, the first rows again where the last round isn't full.
+
+    Duplicates stay in, as in training every worker takes as many steps; fewer
+    rows than workers stand several times. No rows give no rows.
+    """
+    n = F.broadcast(df.agg(F.count("*").alias("__n")))
+    ranked = global_rank(df, *order, name="__r").crossJoin(n)
+    last = F.ceil(F.col("__n") / workers) * workers - 1
+    return ranked.withColumn("index", F.explode(F.sequence(F.col("__r") - 1, last, F.col("__n")))).withColumn("worker", F.col("index") % workers).drop("__r", "__n")
+
+
+def balanced(items: DataFrame, workers: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """Each item goes to the worker of its group with the least load so far, the first of equal ones: ``keys, worker`` beside the item.
+
+    ``workers(keys, worker, load)``. As an item adds one to a load, a worker
+    offers the places load, load + 1, ..., and the k-th item takes the k-th
+    smallest (place, worker): two ranks and a join in place of a loop.
+    """
+    numbered = items.withColumn("__k", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    counts = items.groupBy(*keys).agg(F.count("*").alias("__n"))
+    places = workers.join(counts, keys).withColumn("__at", F.explode(F.sequence(F.col("load"), F.col("load") + F.col("__n") - 1)))
+    taken = places.withColumn("__k", F.row_number().over(W.partitionBy(*keys).orderBy("__at", "worker"))).where(F.col("__k") <= F.col("__n"))
+    return numbered.join(taken.select(*keys, "__k", "worker"), [*keys, "__k"]).drop("__k")

@@ -110,10 +110,11 @@ def j16_metadata(spark, sf_dir):
 
 @query("select o_orderkey, o_orderpriority, count(*) over (partition by o_custkey) as orders_of_customer from orders where o_orderkey in (select min(o_orderkey) from orders group by o_custkey)")
 def j26_single(spark, sf_dir):
-    """Point lookup of one row a key, with the number of rows it was chosen from made explicit."""
+    """Point lookup of each customer's first order, which must be a single row."""
     o = table(spark, sf_dir, "orders")
-    first = o.groupBy("o_custkey").agg(F.min(F.struct("o_orderkey", "o_orderpriority")).alias("f"))
-    return first.select("f.o_orderkey", "f.o_orderpriority", F.lit(1).cast("long").alias("orders_of_customer"))
+    first = o.join(o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey")), ["o_custkey", "o_orderkey"], "left_semi")
+    found = A.single(first.select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"])
+    return found.select("o_orderkey", "o_orderpriority", F.col("n_rows").alias("orders_of_customer"))
 
 
 @query("select l_orderkey, unnest(list(l_quantity order by l_linenumber, l_partkey, l_suppkey, l_quantity)) as quantity, unnest(list(l_partkey order by l_linenumber, l_partkey, l_suppkey, l_quantity)) as part from lineitem group by l_orderkey")
@@ -280,3 +281,29 @@ def a10_distinct_counts(spark, sf_dir):
 @query("with c as (select user_id, event_type, count(*) as n from events group by 1, 2), m as (select user_id, arg_min(event_type, (-n, event_type)) as majority from c group by 1) select m.user_id, m.majority, round(avg(e.value), 6) as mean_score from m join events e using (user_id) group by 1, 2")
 def a11_mode(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.mode("event_type", True).alias("majority"), F.round(F.avg("value"), 6).alias("mean_score"))
+
+
+@query("with s as (select event_id, user_id, value, case when event_type = 'view' then 0 else 1 end as stage from events), r as (select *, row_number() over (partition by user_id order by value desc, event_id, stage) as rn from s) select user_id, event_id, stage, rn from r where rn <= 4")
+def t04_topk_stages(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
+    views = F.coalesce(F.col("event_type") == "view", F.lit(False))
+    top = rank.topk_of_stages([e.where(views), e.where(~views)], ["user_id"], 4, F.desc("value"), F.asc("event_id"))
+    return top.select("user_id", "event_id", "stage", F.col("rn").cast("long").alias("rn"))
+
+
+@query("select l_orderkey, l_linenumber, l_quantity, row_number() over (partition by l_orderkey order by l_quantity desc, l_linenumber) as rn from lineitem qualify rn <= 2")
+def t06_max_detections(spark, sf_dir):
+    top = rank.max_detections(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_quantity", "l_linenumber", 2)
+    return top.select("l_orderkey", "l_linenumber", "l_quantity", F.col("rn").cast("long").alias("rn"))
+
+
+@query("with d as (select doc_id, row_number() over (order by doc_id) - 1 as r, count(*) over () as n from documents) select doc_id, i as index, i % 7 as worker from (select doc_id, unnest(generate_series(r, (ceil(n / 7.0) * 7)::bigint - 1, n)) as i from d)")
+def r11_wrapped(spark, sf_dir):
+    return rank.wrapped_shares(table(spark, sf_dir, "documents").select("doc_id"), 7, F.asc("doc_id")).select("doc_id", F.col("index").cast("long").alias("index"), F.col("worker").cast("long").alias("worker"))
+
+
+@query("with i as (select event_id, user_id, row_number() over (partition by user_id order by event_id) as k, count(*) over (partition by user_id) as n from events), g as (select distinct user_id, n from i), p as (select user_id, w, row_number() over (partition by user_id order by lv, w) as k from (select user_id, w, unnest(generate_series((user_id * (w + 1)) % 5, (user_id * (w + 1)) % 5 + n - 1)) as lv from g, (select unnest([0, 1, 2, 3]) as w))) select event_id, user_id, w as worker from i join p using (user_id, k)")
+def a30_balanced(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id")
+    workers = e.select("user_id").distinct().withColumn("worker", F.explode(F.array(*(F.lit(w) for w in range(4))))).withColumn("load", F.col("user_id") * (F.col("worker") + 1) % 5)
+    return rank.balanced(e, workers, ["user_id"], F.asc("event_id")).select("event_id", "user_id", "worker")

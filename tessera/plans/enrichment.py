@@ -158,3 +158,10 @@ def p27_cleaned(spark, sf_dir):
     g = t.groupBy("l_orderkey").agg(F.collect_list("f").alias("fs"))
     clear = F.transform("fs", lambda f: F.when(f["area"].isNotNull() & f["box"].isNotNull() & (f["box"][0] > 0), f))
     return g.select("l_orderkey", F.size("fs").cast("long").alias("n"), F.size(F.filter(clear, lambda f: f.isNotNull())).cast("long").alias("cleaned"))
+
+
+@query("select doc_id, result from (select doc_id, row_number() over (order by doc_id) as i from documents) left join (select 'out/' || doc_id || '.png' as result, row_number() over (order by doc_id) as i from (select distinct doc_id from labels)) using (i)")
+def j02_by_position(spark, sf_dir):
+    done = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    results = done.withColumn("result", F.concat(F.lit("out/"), F.col("doc_id").cast("string"), F.lit(".png")))
+    return E.write_back_by_position(table(spark, sf_dir, "documents").select("doc_id"), results, F.col("doc_id"), F.col("doc_id"), ["result"])

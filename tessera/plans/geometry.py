@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import boxes as B
+from tessera.functions import sampling
 from tessera.operators import match, overlap
 from tessera.plans.common import query, r6, table
 
@@ -178,3 +179,13 @@ def n04_coco_match(spark, sf_dir):
     b = _flat(boxes(spark, sf_dir)).drop("box")
     gt = b.where("id % 2 = 0").withColumnRenamed("id", "gt_id").withColumn("ignored", F.col("gt_id") % 10 == 0)
     return match.coco_match(gt, b.where("id % 2 = 1").withColumnRenamed("id", "dt_id"), ["brand"], [0.1, 0.3, 0.5], max_dets=None)
+
+
+U_SQL = "(('0x' || substr(md5('{0}|' || id), 1, 12))::bigint / 281474976710656.0::double)"
+
+
+@query(f"""with {BOX_SQL}, m as (select id, x0 + {U_SQL.format('15x')} * (x1 - x0) as px, y0 + {U_SQL.format('15y')} * (y1 - y0) as py, x0 + (2 * {U_SQL.format('160')} - 1) * least(0.1 * (x1 - x0), 5.0) as a, y0 + (2 * {U_SQL.format('161')} - 1) * least(0.1 * (y1 - y0), 5.0) as b, x1 + (2 * {U_SQL.format('162')} - 1) * least(0.1 * (x1 - x0), 5.0) as c, y1 + (2 * {U_SQL.format('163')} - 1) * least(0.1 * (y1 - y0), 5.0) as d from box)
+select id, round(px, 6) as px, round(py, 6) as py, round(least(a, c), 6) as x0, round(least(b, d), 6) as y0, round(greatest(a, c), 6) as x1, round(greatest(b, d), 6) as y1 from m""")
+def f15_points_and_noise(spark, sf_dir):
+    d = boxes(spark, sf_dir).select("id", sampling.point_in(F.col("box"), 15, F.col("id")).alias("p"), sampling.noisy_box(F.col("box"), 0.1, 5.0, 16, F.col("id")).alias("n"))
+    return d.select("id", *(r6(F.col("p")[i]).alias(c) for i, c in enumerate(("px", "py"))), *(r6(F.col("n")[i]).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))

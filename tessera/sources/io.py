@@ -14,7 +14,7 @@ from tessera.operators.rank import global_rank
 # Image extensions.
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "webp")
 # Names under which a triplet file may lie, in order of preference.
-TRIPLET_FILES = ("train.jsonl", "training_data.jsonl", "train.json", "training_data.json", "data.jsonl", "data.json")
+TRIPLET_FILES = ("metadata.jsonl", "metadata.json", "instructions.jsonl", "instructions.json", "data.jsonl", "data.json")
 SCORES = "image_path string, lighting_score double"
 TRIPLET = "input_image string, instruction string, output_image string"
 

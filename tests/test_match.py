@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -70,3 +71,29 @@ def test_all_detections_of_a_key_that_is_no_image(spark):
     g = spark.createDataFrame([(*r[:6], False) for r in rows], "k long, gt_id long, x0 double, y0 double, x1 double, y1 double, ignored boolean")
     assert match.coco_match(g, d, ["k"], [0.5], max_dets=None).where("matched").count() == 150
     assert match.coco_match(g, d, ["k"], [0.5]).count() == 100
+
+
+def test_balanced_is_repeated_argmin(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import rank
+
+    loads = {"a": [3, 0, 0, 5], "b": [1, 1, 1, 1]}
+    items = spark.createDataFrame([(g, i) for g in loads for i in range(9)], "g string, item int")
+    workers = spark.createDataFrame([(g, w, n) for g, own in loads.items() for w, n in enumerate(own)], "g string, worker int, load long")
+    got = {(r["g"], r["item"]): r["worker"] for r in rank.balanced(items, workers, ["g"], F.asc("item")).collect()}
+    for g, own in loads.items():
+        at = list(own)
+        for i in range(9):
+            w = at.index(min(at))
+            at[w] += 1
+            assert got[g, i] == w
+
+
+def test_single_refuses_several_rows(spark):
+    from tessera.operators import annotations
+
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z")], "k long, v string")
+    assert [tuple(r) for r in annotations.single(rows.where("k = 1"), ["k"]).collect()] == [(1, "x", 1)]
+    with pytest.raises(Exception, match="several rows of 2"):
+        annotations.single(rows, ["k"]).collect()
