@@ -146,7 +146,10 @@ def test_alignment_keeps_order():
     assert order_minhash.aligned_similarity(x, x[:40]) == 0.0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_links", [1 << 18, 2])
+def test_components(spark, monkeypatch, task_links):
+    """One task's worth of links, and star rounds over several; forests are cut at the bound, too."""
+    monkeypatch.setattr("tessera.llm.components.TASK_LINKS", task_links)
     links = [(i, i + 1) for i in range(40)] + [(100, 102), (101, 102), (7, 7), (0, 40)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
