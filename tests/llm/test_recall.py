@@ -67,7 +67,7 @@ def test_template_family_of_documents(spark, monkeypatch):
     assert len(pairs) > 200 and len(set(want.values())) > 50
     found = sum(got[a] == got[b] for a, b in pairs)
     assert found >= 0.98 * len(pairs)
-    assert groups(range(len(texts)), enumerate(got.values())) == got and all(want[i] == want[c] for i, c in got.items())
+    assert groups(range(len(texts)), got.items()) == got and all(want[i] == want[c] for i, c in got.items())
 
 
 def test_template_family_of_lines(spark, monkeypatch):
