@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from .storage import materialize
 
-#: Links that one task may resolve by itself (some 40 MB of a Python worker).
+#: Links that one task may resolve by itself (under 100 MB of a Python worker, by estimate).
 TASK_LINKS = 1 << 18
 
 
 def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``u, v`` of each node of a partition's links: ``v`` is the smallest node it is connected with there, itself too.
 
-    Nodes are let go at TASK_LINKS, so a partition of any size takes bounded
+    Nodes are let go beyond twice TASK_LINKS, more than that many links can have, so a partition of any size takes bounded
     memory and is cut into several forests.
     """
     parent: dict[int, int] = {}
