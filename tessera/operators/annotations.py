@@ -57,16 +57,18 @@ def surrogate_ids(pairs: DataFrame, *order: Column, name: str = "id") -> DataFra
 def unique_track_ids(tracks: DataFrame, video: str, track: str) -> DataFrame:
     """A track id that stands in several videos gets a new one in each but the first; others stay."""
     pairs = tracks.select(video, track).distinct()
-    nth = F.row_number().over(W.partitionBy(track).orderBy(video))
-    numbered = pairs.withColumn("nth", nth)
+    firsts = pairs.groupBy(track).agg(F.min(video).alias(video))
     top = F.broadcast(pairs.agg(F.max(track).alias("top")))
-    again = global_rank(numbered.where("nth > 1"), F.asc(track), F.asc(video), name="k").crossJoin(top).select(video, track, (F.col("top") + F.col("k")).alias("new_id"))
-    return numbered.where("nth = 1").select(video, track, F.col(track).alias("new_id")).unionByName(again)
+    others = pairs.join(firsts, [video, track], "left_anti")
+    again = global_rank(others, F.asc(track), F.asc(video), name="k").crossJoin(top).select(video, track, (F.col("top") + F.col("k")).alias("new_id"))
+    return firsts.select(video, track, F.col(track).alias("new_id")).unionByName(again)
 
 
-def reindexed(rows: DataFrame, ids: list[str], first: int) -> DataFrame:
-    """Moves every id column by one where ids begin at 0, as the formats of the field want 1."""
-    return rows.withColumns({c: F.col(c) + (1 if first == 0 else 0) for c in ids})
+def reindexed(rows: DataFrame, ids: list[str]) -> DataFrame:
+    """Moves every id column by one where the first one's ids begin at 0, as the formats of the field want 1."""
+    first = F.broadcast(rows.agg(F.min(ids[0]).alias("__first")))
+    moved = rows.crossJoin(first)
+    return moved.withColumns({c: F.col(c) + F.when(F.col("__first") == 0, 1).otherwise(0) for c in ids}).drop("__first")
 
 
 def filled(rows: DataFrame, parents: DataFrame, key: str, columns: list[str]) -> DataFrame:

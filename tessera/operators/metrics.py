@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.match import assign
+from tessera.operators.rank import global_rank
 
 # The metrics' thresholds and constants.
 IOU_THRESHOLDS = [0.5 + 0.05 * k for k in range(10)]
@@ -60,16 +61,18 @@ def average_precision(dets: DataFrame, truths: DataFrame, group: list[str]) -> D
     """Interpolated at 101 recalls from ``score, dt_id, matched`` and the number of truths ``n`` per group.
 
     Precision at a recall is the best at that recall or beyond; recalls never
-    reached count 0. Running sums stay in a group's window.
+    reached count 0. Places among all detections and among the matched ones are
+    ranks dealt by range; of each hundredth of recall the best precision is
+    kept, so a group's window holds 101 rows at most.
     """
-    w = W.partitionBy(*group).orderBy(F.desc("score"), F.asc("dt_id")).rowsBetween(W.unboundedPreceding, 0)
-    run = dets.withColumn("tp", F.sum(F.col("matched").cast("int")).over(w)).withColumn("k", F.count("*").over(w)).join(truths, group)
-    after = W.partitionBy(*group).orderBy(F.asc("score"), F.desc("dt_id")).rowsBetween(W.unboundedPreceding, 0)  # running from the end
-    best = run.withColumn("r", F.col("tp") / F.col("n")).withColumn("p", F.max(F.col("tp") / F.col("k")).over(after))
-    # Each detection is the first to reach the recalls between the one before and its own.
-    before = F.coalesce(F.lag("r").over(W.partitionBy(*group).orderBy(F.desc("score"), F.asc("dt_id"))), F.lit(-1.0))
-    reached = F.floor(F.col("r") * 100 + 1e-9) - F.when(before < 0, F.lit(-1)).otherwise(F.floor(before * 100 + 1e-9))
-    return best.withColumn("w", reached).groupBy(*group).agg((F.sum(F.col("p") * F.col("w")) / 101).alias("ap"))
+    ranked = global_rank(dets.select(*group, "score", "dt_id", "matched"), F.desc("score"), F.asc("dt_id"), name="k", keys=group)
+    hits = global_rank(ranked.where("matched").select(*group, "k"), F.asc("k"), name="tp", keys=group).join(truths, group)
+    best = hits.groupBy(*group, F.floor(F.col("tp") / F.col("n") * 100 + 1e-9).alias("r")).agg(F.max(F.col("tp") / F.col("k")).alias("p"))
+    down = W.partitionBy(*group).orderBy(F.desc("r"))
+    # A hundredth stands for the recalls above the one reached before it.
+    best = best.withColumn("w", F.col("r") - F.coalesce(F.lead("r").over(down), F.lit(-1))).withColumn("p", F.max("p").over(down.rowsBetween(W.unboundedPreceding, 0)))
+    ap = best.groupBy(*group).agg((F.sum(F.col("p") * F.col("w")) / 101).alias("ap"))
+    return ranked.select(*group).distinct().join(truths.select(*group), group).join(ap, group, "left").withColumn("ap", F.coalesce("ap", F.lit(0.0)))
 
 
 def weighted(value: str, weight: str) -> Column:

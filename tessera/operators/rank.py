@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import materialize
+
 
-def global_rank(df: DataFrame, *order: Column, name: str = "rn") -> DataFrame:
-    """``row_number`` over the whole table without one task for all rows.
+def global_rank(df: DataFrame, *order: Column, name: str = "rn", keys: Sequence[str] = ()) -> DataFrame:
+    """``row_number`` over the whole table, or within ``keys``, where one task can't hold what is numbered together.
 
-    Rows are dealt by range of the order, numbered within each range, and moved
-    up by the sizes of the ranges before. ``order`` must end in a unique key.
+    Rows are dealt once by range of keys and order and written with the place
+    of each in its range, so that sizes and places come from one dealing. A
+    range's rows are then moved up by what the table, or the group that began
+    before, holds in the ranges before. ``order`` must end in a unique key;
+    null keys are a group.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id())
-    inner = dealt.withColumn("__rn", F.row_number().over(W.partitionBy("__part").orderBy(*order)))
-    sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row a range
-    starts = sizes.select(F.col("__part").alias("__p"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    out = inner.join(F.broadcast(starts), F.col("__part") == F.col("__p"))
-    return out.withColumn(name, F.col("__rn") + F.col("__start")).drop("__part", "__p", "__rn", "__start")
+    ranges = [*(F.asc(k) for k in keys), *order]
+    dealt = materialize(df.repartitionByRange(n, *ranges).sortWithinPartitions(*ranges).withColumn("__at", F.monotonically_increasing_id()), "rank")
+    dealt = dealt.withColumn("__part", F.shiftright("__at", 33))
+    sizes = dealt.groupBy("__part", *keys).agg(F.count("*").alias("__n"))
+    before = W.partitionBy(*keys).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.withColumn("__start", F.sum("__n").over(before)).where("__start > 0")  # a range continues one group at most
+    starts = F.broadcast(starts.select(F.col("__part").alias("__p"), *(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), "__start"))
+    met = F.col("__part") == F.col("__p")
+    for i, k in enumerate(keys):
+        met = met & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    inner = F.row_number().over(W.partitionBy("__part", *keys).orderBy("__at")) if keys else F.col("__at").bitwiseAND((1 << 33) - 1) + 1
+    out = dealt.withColumn("__rn", inner).join(starts, met, "left")
+    return out.select(*df.columns, (F.col("__rn") + F.coalesce("__start", F.lit(0))).alias(name))
 
 
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -36,12 +49,17 @@ def best_per_group(df: DataFrame, keys: list[str], value: Column, by: Column) ->
 
 
 def band_stats(ranked: DataFrame, score: str, bands: list[tuple[str, int, int]], rank: str = "rn") -> DataFrame:
-    """count, min, max, mean and median of the score in half-open rank bands; a band whose end is past the last rank is dropped."""
+    """count, min, max, mean and median of the score in half-open rank bands; a band whose end is past the last rank is dropped.
+
+    As ranks follow the score, a band's median is that of its one or two middle ranks.
+    """
     spark = ranked.sparkSession
     limits = F.broadcast(spark.createDataFrame(bands, "band string, start long, end long"))
     n = F.broadcast(ranked.agg(F.count("*").alias("n")))
     inside = (F.col(rank) > F.col("start")) & (F.col(rank) <= F.col("end"))
-    return ranked.join(limits, inside).crossJoin(n).where(F.col("end") <= F.col("n")).groupBy("band").agg(F.count("*").alias("count"), F.min(score).alias("min_score"), F.max(score).alias("max_score"), F.avg(score).alias("mean_score"), F.median(score).alias("median_score"))
+    size = F.col("end") - F.col("start")
+    middle = F.col(rank).isin(F.col("start") + F.floor((size + 1) / 2), F.col("start") + F.floor(size / 2) + 1)
+    return ranked.join(limits, inside).crossJoin(n).where(F.col("end") <= F.col("n")).groupBy("band").agg(F.count("*").alias("count"), F.min(score).alias("min_score"), F.max(score).alias("max_score"), F.avg(score).alias("mean_score"), F.avg(F.when(middle, F.col(score))).alias("median_score"))
 
 
 def cutoff_gap(ranked: DataFrame, score: str, cutoff: int, rank: str = "rn") -> DataFrame:

@@ -5,15 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.rank import global_rank
+
 
 def valid_scores(df: DataFrame, score: str) -> DataFrame:
     """Drops the failure mark (below 0), nulls and NaN."""
     return df.where((F.col(score) >= 0) & ~F.isnan(score))
 
 
+def quantiles(df: DataFrame, score: str, shares: dict[str, float]) -> DataFrame:
+    """One row with a column a share, by linear interpolation between the two ranks around it; nulls don't count, no rows give nulls.
+
+    Ranks come from a dealing by range: no task holds all values.
+    """
+    ranked = global_rank(df.select(F.col(score).alias("__v")).where("__v is not null"), F.asc("__v"), name="__r")
+    n = F.broadcast(ranked.agg(F.count("*").alias("__n")))
+    at = {name: (F.col("__n") - 1) * share for name, share in shares.items()}
+    low = {name: F.floor(a) for name, a in at.items()}
+    picked = [F.max(F.when(F.col("__r") == low[name] + 1 + k, F.col("__v"))).alias(f"__{name}{k}") for name in shares for k in (0, 1)]
+    ends = ranked.crossJoin(n).agg(F.max("__n").alias("__n"), *picked)
+    between = lambda name: F.col(f"__{name}0") + F.when(at[name] > low[name], (F.col(f"__{name}1") - F.col(f"__{name}0")) * (at[name] - low[name])).otherwise(0.0)
+    return ends.select(*(between(name).alias(name) for name in shares))
+
+
 def describe(df: DataFrame, score: str) -> DataFrame:
     """count, mean, population deviation, min, max, median and quartiles (linear)."""
-    return df.agg(F.count(score).alias("count"), F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.min(score).alias("min"), F.max(score).alias("max"), F.median(score).alias("median"), F.percentile(score, F.lit(0.25)).alias("q25"), F.percentile(score, F.lit(0.75)).alias("q75"))
+    moments = df.agg(F.count(score).alias("count"), F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.min(score).alias("min"), F.max(score).alias("max"))
+    return moments.crossJoin(F.broadcast(quantiles(df, score, {"median": 0.5, "q25": 0.25, "q75": 0.75})))
 
 
 def describe_by(df: DataFrame, key: str, score: str) -> DataFrame:

@@ -93,7 +93,7 @@ def j13_fill_size(spark, sf_dir):
 @query("select n_nationkey + (select (min(n_nationkey) = 0)::int from nation) as n_nationkey, n_regionkey + (select (min(n_nationkey) = 0)::int from nation) as n_regionkey from nation")
 def j14_reindex(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    return A.reindexed(n, ["n_nationkey", "n_regionkey"], n.agg(F.min("n_nationkey")).first()[0])
+    return A.reindexed(n, ["n_nationkey", "n_regionkey"])
 
 
 @query("select distinct o_custkey from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0)")

@@ -9,11 +9,13 @@ from tessera.operators import rank
 from tessera.plans.common import query, r6, table
 
 
-@query("select conv_id, turn, role, length(text) as n from conversations where conv_id = 3 and turn = 1")
+@query("select e.event_id, e.user_id as conv_id, e.event_id % 4 as turn, c.role, length(coalesce(c.text, '')) as n, c.conv_id is null as missing from events e left join conversations c on c.conv_id = e.user_id and c.turn = e.event_id % 4")
 def j28_frame_lookup(spark, sf_dir):
-    """One frame of one video: its row in the table of frames, a missing text empty, ordered by role."""
-    c = table(spark, sf_dir, "conversations").where("conv_id = 3 and turn = 1")
-    return c.select("conv_id", "turn", "role", F.char_length("text").cast("long").alias("n")).orderBy("role")
+    """The frame that each event asks for: its row in the table of frames, a missing text empty, a missing frame marked."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lit(False).alias("missing"))
+    asked = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("conv_id"), (F.col("event_id") % 4).alias("turn"))
+    n = F.coalesce(F.char_length("text"), F.lit(0)).cast("long")
+    return asked.join(c, ["conv_id", "turn"], "left").select("event_id", "conv_id", "turn", "role", n.alias("n"), F.coalesce("missing", F.lit(True)).alias("missing"))
 
 
 @query("select d.doc_id, p.url as target, p.url is null as missing from documents d left join pages p on d.doc_id = p.page_id")
@@ -40,12 +42,13 @@ def p20_boxes_removed(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit(None).cast("string").alias("box"), "role")
 
 
-@query("select epoch, doc_id from (select epoch, doc_id, row_number() over (partition by epoch order by md5('1|' || epoch || '|' || doc_id), doc_id) as rn from documents, range(3) e(epoch)) where rn <= 20")
+@query("select epoch, doc_id, row_number() over (partition by epoch order by md5('1|' || epoch || '|' || doc_id), doc_id) as place from documents, range(3) e(epoch)")
 def n15_epoch_order(spark, sf_dir):
-    """Another order each epoch, the same on every run."""
+    """Each document's place in another order each epoch, the same on every run."""
     epochs = F.broadcast(spark.range(3).withColumnRenamed("id", "epoch"))
     d = table(spark, sf_dir, "documents").select("doc_id").crossJoin(epochs)
-    return rank.top_per_group(d, ["epoch"], 20, sampling.digest(1, F.col("epoch"), F.col("doc_id")), F.asc("doc_id")).select("epoch", "doc_id")
+    d = d.withColumn("h", sampling.digest(1, F.col("epoch"), F.col("doc_id")))
+    return rank.global_rank(d, F.asc("h"), F.asc("doc_id"), name="place", keys=["epoch"]).select("epoch", "doc_id", "place")
 
 
 @query("select 'documents' as dataset_name, count(*) as total_attempted, count(*) filter (quality = 1) as successful, count(*) filter (quality <> 1) as failed from labels")
@@ -85,11 +88,13 @@ def r04_limited_ids(spark, sf_dir):
     return rank.top_n(table(spark, sf_dir, "customer").select("c_custkey"), 300, sampling.digest(300, F.col("c_custkey")), F.asc("c_custkey"))
 
 
-@query("select l_orderkey, list_resize(list(l_partkey order by l_partkey), 8, -1) as padded, count(*) as n from lineitem group by 1 having count(*) <= 8")
+@query("with g as (select l_orderkey, list(l_partkey order by l_partkey) as xs from lineitem group by 1) select l_orderkey, list_resize(xs, (select max(len(xs)) from g), -1) as padded, len(xs) as n from g")
 def f14_padded(spark, sf_dir):
-    """Lists padded to the longest allowed, missing places marked."""
-    g = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_partkey")).alias("xs")).where(F.size("xs") <= 8)
-    return g.select("l_orderkey", F.concat("xs", F.array_repeat(F.lit(-1).cast("long"), F.lit(8) - F.size("xs"))).alias("padded"), F.size("xs").cast("long").alias("n"))
+    """Lists padded to the longest found, missing places marked."""
+    li = table(spark, sf_dir, "lineitem")
+    longest = F.broadcast(li.groupBy("l_orderkey").count().agg(F.max("count").cast("int").alias("m")))
+    g = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_partkey")).alias("xs")).crossJoin(longest)
+    return g.select("l_orderkey", F.concat("xs", F.array_repeat(F.lit(-1).cast("long"), F.col("m") - F.size("xs"))).alias("padded"), F.size("xs").cast("long").alias("n"))
 
 
 @query("select p_partkey, round(log10(p_retailprice), 6) as log_price, round(greatest(0, least(1, p_size / 40)), 6) as clipped, round((p_retailprice - (select min(p_retailprice) from part)) / ((select max(p_retailprice) - min(p_retailprice) from part) + 1e-8), 5) as scaled, round(atan2(p_size, p_retailprice), 6) as angle from part")

@@ -102,6 +102,14 @@ def w01_position(spark, sf_dir):
     return ranked_events(spark, sf_dir).select("event_id", "rn")
 
 
+@query("select *, row_number() over (order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_shipdate) as rn from lineitem")
+def w01_wide_position(spark, sf_dir):
+    """The position beside all columns of a table, not only those of the order."""
+    li = table(spark, sf_dir, "lineitem")
+    first = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+    return rank.global_rank(li, F.desc("l_extendedprice"), *(F.asc(c) for c in first))
+
+
 def _case_sql(bands, last, rn="rn"):
     return "case " + " ".join(f"when {rn} <= {top} then '{label}'" for top, label in bands) + f" else '{last}' end"
 
@@ -124,7 +132,7 @@ def w08_cutoff(spark, sf_dir):
 @query(f"with {LONG_SQL} select vec_id, prompt, score, row_number() over (partition by prompt order by score desc, vec_id) as rn from long")
 def w09_prompt_rank(spark, sf_dir):
     long = prompt_scores(spark, sf_dir)
-    return rank.top_per_group(long, ["prompt"], 1 << 60, F.desc("score"), F.asc("vec_id")).select("vec_id", "prompt", "score", F.col("rn").cast("long").alias("rn"))
+    return rank.global_rank(long.select("vec_id", "prompt", "score"), F.desc("score"), F.asc("vec_id"), keys=["prompt"])
 
 
 @query("""with e as (select min(value) lo, max(value) hi from events), b as (select case when hi = lo then 0 else least(floor((value - lo) * 50 / (hi - lo)), 49) end::bigint as bin from events, e)
