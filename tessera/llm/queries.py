@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fuzzy_lines, neighbours, order_minhash, packing, repeats, secrets, toxicity, wavelet
+from . import chat, decontaminate, fill_middle, fuzzy_lines, mixing, neighbours, order_minhash, packing, prefix_trie, repeats, secrets, toxicity, wavelet
 from .storage import table
 
 
@@ -72,5 +72,20 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), sha(F.array_join(line, "")).alias("turns_sha256"), F.char_length(target).cast("long").alias("loss_chars"), sha(target).alias("loss_sha256"), "formatted_chars")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.measured_trie(*prefix_trie.shared_heads(turns))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(again).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_near_duplicates, op4_pack, op5_neighbours, op6_wavelet, op7_repeats, op8_toxicity, op9_line_dedup, op10_chat)}
+    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_near_duplicates, op4_pack, op5_neighbours, op6_wavelet, op7_repeats, op8_toxicity, op9_line_dedup, op10_chat, op11_prefix_trie, op12_mixing, op13_fill_middle)}
