@@ -117,9 +117,10 @@ def running_sums(rows: DataFrame, at: str, values: list[str], width: int = 1024,
     """
     if levels == 0:
         return rows.withColumns({v: F.sum(v).over(W.orderBy(at).rowsBetween(W.unboundedPreceding, 0)) for v in values})
-    block = F.floor(F.col(at) / width)
-    inner = W.partitionBy("__block").orderBy(at).rowsBetween(W.unboundedPreceding, 0)
-    blocks = rows.groupBy(block.alias("__block")).agg(*(F.sum(v).alias(v) for v in values))
-    before = running_sums(blocks, "__block", values, width, levels - 1).select((F.col("__block") + 1).alias("__block"), *(F.col(v).alias(f"__{v}") for v in values))
-    own = rows.withColumn("__block", block).withColumns({v: F.sum(v).over(inner) for v in values})
-    return own.join(before, "__block", "left").withColumns({v: F.col(v) + F.coalesce(f"__{v}", F.lit(0)) for v in values}).select(*rows.columns)
+    block = f"__block{levels}"
+    place = F.floor(F.col(at) / width).alias(block)
+    inner = W.partitionBy(block).orderBy(at).rowsBetween(W.unboundedPreceding, 0)
+    blocks = rows.groupBy(place).agg(*(F.sum(v).alias(v) for v in values), *(F.sum(v).alias(f"__own_{v}") for v in values))
+    before = running_sums(blocks, block, values, width, levels - 1).select(block, *((F.col(v) - F.col(f"__own_{v}")).alias(f"__{v}") for v in values))
+    own = rows.select("*", place).withColumns({v: F.sum(v).over(inner) for v in values})
+    return own.join(before, block).withColumns({v: F.col(v) + F.col(f"__{v}") for v in values}).select(*rows.columns)
