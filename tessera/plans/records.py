@@ -120,12 +120,3 @@ def n13_both_ways(spark, sf_dir):
     back = F.when(F.col("start") > 0, F.reverse(F.sequence(F.lit(0).cast("long"), F.col("start") - 1))).otherwise(F.array().cast("array<bigint>"))
     backward = F.transform(back, lambda f: F.struct(f.alias("frame"), F.lit("backward").alias("direction")))
     return m.select("conv_id", F.posexplode(F.concat(forward, backward)).alias("step", "f")).select("conv_id", "f.frame", "f.direction", (F.col("step") + 1).cast("long").alias("step"))
-
-
-@query("with a as (select user_id as s, event_type as o, max(event_id) as last from events group by 1, 2) select x.s as session, case when x.last >= y.last then y.o else x.o end as suppressed, x.o as a, y.o as b from a x join a y on x.s = y.s and x.o < y.o where abs(x.last - y.last) < 100")
-def n09_recent_occlusion(spark, sf_dir):
-    """Of two overlapping objects the one occluded longer ago is suppressed."""
-    a = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("session"), F.col("event_type").alias("o")).agg(F.max("event_id").alias("last"))
-    x, y = a.alias("x"), a.alias("y")
-    met = x.join(y, "session").where((F.col("x.o") < F.col("y.o")) & (F.abs(F.col("x.last") - F.col("y.last")) < 100))
-    return met.select("session", F.when(F.col("x.last") >= F.col("y.last"), F.col("y.o")).otherwise(F.col("x.o")).alias("suppressed"), F.col("x.o").alias("a"), F.col("y.o").alias("b"))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import overlap
 from tessera.plans.common import query, table
+from tessera.streaming import folds, windows
 from tessera.streaming import tracker as T
-from tessera.streaming import windows
 
 FRAMES_SQL = "f as (select user_id as session, event_id as frame, event_id % 3 as obj, event_type not in ('error', 'view') and event_id % 7 <> 0 as matched from events)"
 
@@ -98,9 +98,49 @@ def n20_processing_range(spark, sf_dir):
     return p.select("conv_id", "start", F.sequence("start", "last").alias("forward"), F.reverse(F.sequence(F.lit(0).cast("long"), "start")).alias("backward"))
 
 
-@query("select event_id, user_id, event_id % 10 = 0 or value > 90 as recondition from events")
+_SEEN = "f as (select user_id as session, epoch_us(ts) // 86400000000 - 19723 as frame, event_id % 5 as obj, min(event_type) as kind, round(max(value), 3) as v from events group by all)"
+
+
+def seen(spark, sf_dir):
+    """Days stand for frames: the objects that a session shows on a day."""
+    e = table(spark, sf_dir, "events")
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).cast("long")
+    return e.groupBy(F.col("user_id").alias("session"), day.alias("frame"), (F.col("event_id") % 5).alias("obj")).agg(F.min("event_type").alias("kind"), F.round(F.max("value"), 3).alias("v"))
+
+
+@query(f"""with recursive {_SEEN}, o as (select x.session, x.frame, x.obj, x.v < 15 as occluded, x.kind = 'error' as removed, coalesce(list(y.obj) filter (y.obj is not null), []) as foes from f x left join f y on x.session = y.session and x.frame = y.frame and x.obj <> y.obj and abs(x.v - y.v) < 40 group by all),
+g as (select session, frame, row_number() over (partition by session order by frame) as rn, list({{'obj': obj, 'occluded': occluded, 'removed': removed, 'foes': foes}} order by obj) as objs from o group by 1, 2),
+r as (select session, null::bigint as frame, 0::bigint as rn, []::struct(obj bigint, occluded boolean, removed boolean, foes bigint[])[] as objs, map([]::bigint[], []::bigint[]) as now, []::boolean[] as gone from (select distinct session from g)
+  union all select session, frame, rn, objs, map(list_transform(objs, lambda x: x.obj), list_transform(objs, lambda x, i: case when x.occluded or gone[i] then frame else was[x.obj] end)), gone
+  from (select *, list_transform(objs, lambda x: len(list_filter(x.foes, lambda y: was[y] > -1 and was[x.obj] > was[y])) > 0) as gone
+    from (select g.session, g.frame, g.rn, g.objs, map(list_transform(g.objs, lambda x: x.obj), list_transform(g.objs, lambda x: coalesce(r.now[x.obj], case when x.removed then 100000 else -1 end))) as was from r join g on g.session = r.session and g.rn = r.rn + 1)))
+select session, frame, x.obj as obj, gone[i] as suppressed, now[x.obj] as last_occluded from (select session, frame, now, gone, unnest(objs) as x, generate_subscripts(objs, 1) as i from r where rn > 0)""")
+def n09_recent_occlusion(spark, sf_dir):
+    """Of two overlapping objects the one occluded more recently is suppressed; what was occluded when goes from frame to frame."""
+    f = seen(spark, sf_dir)
+    other = f.select("session", "frame", F.col("obj").alias("foe"), F.col("v").alias("w"))
+    near = f.join(other, ["session", "frame"]).where((F.col("obj") != F.col("foe")) & (F.abs(F.col("v") - F.col("w")) < 40)).groupBy("session", "frame", "obj").agg(F.collect_list("foe").alias("foes"))
+    rows = f.join(near, ["session", "frame", "obj"], "left").withColumn("occluded", F.col("v") < 15).withColumn("removed", F.col("kind") == "error")
+    return folds.rule_table(rows, folds.RecentOcclusion())
+
+
+_IOU = "greatest(0, least({0}[3], {1}[3]) - greatest({0}[1], {1}[1])) * greatest(0, least({0}[4], {1}[4]) - greatest({0}[2], {1}[2]))"
+
+
+@query(f"""with recursive {_SEEN}, o as (select session, frame, obj, [v, obj, v + 30, obj + 10]::double[] as box, case when kind in ('click', 'view') then 0.9 else 0.5 end as score, case when kind <> 'signup' then 0.9 else 0.3 end as own from f),
+g as (select session, frame, row_number() over (partition by session order by frame) as rn, list({{'obj': obj, 'box': box, 'score': score, 'own': own}} order by obj) as objs from o group by 1, 2),
+r as (select session, null::bigint as frame, 0::bigint as rn, []::struct(obj bigint, box double[], score double, own double)[] as objs, map([]::bigint[], []::double[][]) as boxes, map([]::bigint[], []::bigint[]) as ages, []::boolean[] as off, []::boolean[] as renewed from (select distinct session from g)
+  union all select session, frame, rn, objs,
+    map_concat(boxes, map(list_transform(objs, lambda x: x.obj), list_transform(objs, lambda x, i: case when renewed[i] or boxes[x.obj] is null then x.box else boxes[x.obj] end))),
+    map_concat(ages, map(list_transform(objs, lambda x: x.obj), list_transform(objs, lambda x, i: case when renewed[i] or boxes[x.obj] is null then 0 else ages[x.obj] + 1 end))), off, renewed
+  from (select *, list_transform(objs, lambda x: (frame % 8 = 0 or list_contains(off, true)) and boxes[x.obj] is not null and x.own > 0.8) as renewed
+    from (select g.session, g.frame, g.rn, g.objs, r.boxes, r.ages, list_transform(g.objs, lambda x: coalesce(x.score >= 0.8 and {_IOU.format('x.box', 'r.boxes[x.obj]')} / (600 - {_IOU.format('x.box', 'r.boxes[x.obj]')}) < 0.2, false)) as off from r join g on g.session = r.session and g.rn = r.rn + 1)))
+select session, frame, x.obj as obj, off[i] as mismatched, renewed[i] as reconditioned, ages[x.obj] as age from (select session, frame, ages, off, renewed, unnest(objs) as x, generate_subscripts(objs, 1) as i from r where rn > 0)""")
 def n11_recondition(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", "user_id", ((F.col("event_id") % 10 == 0) | (F.col("value") > 90)).alias("recondition"))
+    """Boxes stored from frame to frame, renewed on every eighth one or when a sure detection has left them."""
+    at = F.col("v")
+    rows = seen(spark, sf_dir).select("session", "frame", "obj", at.alias("x0"), F.col("obj").cast("double").alias("y0"), (at + 30).alias("x1"), (F.col("obj") + 10).cast("double").alias("y1"), F.when(F.col("kind").isin("click", "view"), 0.9).otherwise(0.5).alias("score"), F.when(F.col("kind") != "signup", 0.9).otherwise(0.3).alias("own_score"))
+    return folds.rule_table(rows, folds.Reconditioning(every=8, iou=0.2))
 
 
 @query("with r as (select user_id, event_id, event_type, case when lag(event_type) over w is not distinct from event_type then 0 else 1 end as c from events window w as (partition by user_id order by event_id)), n as (select *, sum(c) over (partition by user_id order by event_id)::bigint as run from r) select user_id, run, min(event_type) as value, min(event_id) as start, count(*) as length from n group by 1, 2")

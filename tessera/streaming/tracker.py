@@ -17,6 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tessera.streaming.folds import folded
+
 
 @dataclass(frozen=True)
 class HotStart:
@@ -60,14 +62,17 @@ def hot_start_output(rows: DataFrame, keys: list[str], order: str, matched: str,
 
 
 def keep_alive(rows: DataFrame, keys: list[str], order: str, matched: str, rule: HotStart = HotStart()) -> DataFrame:
-    """The counter, up on a match and down on a miss within its limits, and whether it suppresses. An object's rows are one sorted list."""
-    one = F.struct(order, matched)
-    step = lambda k, r: F.when(r[matched], F.least(F.lit(rule.keep_max), k + 1)).otherwise(F.greatest(F.lit(rule.keep_min), k - 1))
-    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("rs"))
-    start = F.array(F.lit(rule.keep_init))
-    ks = F.aggregate("rs", start, lambda acc, r: F.concat(acc, F.array(step(F.element_at(acc, -1), r))))
-    out = grouped.select(*keys, F.explode(F.arrays_zip(F.col("rs").alias("r"), F.slice(ks, 2, F.size("rs")).alias("k"))).alias("z"))
-    return out.select(*keys, F.col(f"z.r.{order}").alias(order), F.col("z.k").alias("keep"), (F.col("z.k") <= 0).alias("suppressed"))
+    """The counter, up on a match and down on a miss within its limits, and whether it suppresses. An object's rows pass sorted through one task."""
+
+    def step(keep: int | None, _: int, found: list[tuple]) -> tuple[list[tuple], int]:
+        out = []
+        for (hit,) in found:
+            k = rule.keep_init if keep is None else keep
+            keep = min(rule.keep_max, k + 1) if hit else max(rule.keep_min, k - 1)
+            out.append((keep, keep <= 0))
+        return out, keep
+
+    return folded(rows, keys, order, [matched], step, "keep long, suppressed boolean")
 
 
 def duplicates(pairs: DataFrame, keys: list[str], order: str, born: DataFrame, limit: int, delay: int) -> DataFrame:
