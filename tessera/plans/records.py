@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions import sampling
@@ -120,3 +122,19 @@ def n13_both_ways(spark, sf_dir):
     back = F.when(F.col("start") > 0, F.reverse(F.sequence(F.lit(0).cast("long"), F.col("start") - 1))).otherwise(F.array().cast("array<bigint>"))
     backward = F.transform(back, lambda f: F.struct(f.alias("frame"), F.lit("backward").alias("direction")))
     return m.select("conv_id", F.posexplode(F.concat(forward, backward)).alias("step", "f")).select("conv_id", "f.frame", "f.direction", (F.col("step") + 1).cast("long").alias("step"))
+
+
+@query("select doc_id as record_id, 'input' as kind, 'txt' as extension, octet_length(encode(coalesce(text, ''))) as length, sha256(coalesce(text, '')) as sha from documents union all select doc_id, 'metadata', 'json', length('{\"lang\":\"' || lang || '\"}'), sha256('{\"lang\":\"' || lang || '\"}') from documents")
+def k06_artefacts(spark, sf_dir):
+    """Two files a document, written by the sink and read back."""
+    from tessera.sources import artefacts
+    from tessera.sources.shared import delete_at_end, shared_dir
+
+    one = lambda kind, extension, content: F.struct(F.lit(kind).alias("kind"), F.lit(extension).alias("extension"), F.encode(content, "UTF-8").alias("content"))
+    both = F.array(one("input", "txt", F.coalesce("text", F.lit(""))), one("metadata", "json", F.to_json(F.struct("lang"))))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.explode(both).alias("a")).select("record_id", "a.*")
+    path = f"{shared_dir(spark)}/tessera/artefacts-{uuid.uuid4().hex}"
+    delete_at_end(spark, path)
+    artefacts.write_artefacts(rows, path, "documents")
+    back = artefacts.read_artefacts(spark, path)
+    return back.select("record_id", "kind", "extension", F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("sha"))
