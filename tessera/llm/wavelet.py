@@ -121,6 +121,20 @@ class WaveletMatrix:
             value = (value << np.uint32(1)) | bit
         return value
 
+    def whole(self) -> np.ndarray:
+        """All ids: the planes undone from the lowest up, each parting put back by its bits, without a rank."""
+        value = np.zeros(self.length, dtype=np.uint16 if len(self.zeros) <= 16 else np.uint32)
+        for k in range(len(self.zeros) - 1, -1, -1):
+            words = np.concatenate([self._frame(k, c)[1] for c in range(len(self.frames[k]))]) if self.frames[k] else np.zeros(0, "<u8")
+            ones = np.unpackbits(words.view(np.uint8), count=self.length, bitorder="little").view(bool)
+            above = np.empty_like(value)
+            above[~ones] = value[: self.zeros[k]]
+            above[ones] = value[self.zeros[k] :] | value.dtype.type(1 << (len(self.zeros) - 1 - k))
+            value = above
+            for c in range(len(self.frames[k])):
+                self._open.pop((k, c), None)
+        return value
+
     def _range(self, token: int, start: int, end: int) -> tuple[int, int]:
         for k, zero in enumerate(self.zeros):
             a, b = self._rank1(k, start), self._rank1(k, end)
@@ -206,7 +220,7 @@ def write_shards(df: DataFrame, tokenizer_path: str, end_id: int = 2, shard_toke
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of each document, extracted by rank from the shards; ``start`` counts all ids before it."""
+    """``doc_id, start, n_tokens, ids_crc32`` of each document, read back from the shards; ``start`` counts all ids before it."""
     # One small row a shard is all that the running total sees: 500,000 rows for 10**12 ids.
     before = W.orderBy("of_part", "of_seq").rowsBetween(W.unboundedPreceding, -1)
     starts = shards.select(F.col("part").alias("of_part"), F.col("seq").alias("of_seq"), "n_tokens").select("of_part", "of_seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("shard_start"))
@@ -215,7 +229,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for blob, start in zip(batch.column("shard").to_pylist(), batch.column("shard_start").to_pylist(), strict=True):
                 matrix, docs, lengths = WaveletMatrix.from_bytes(blob)
-                ids = matrix.extract(0, matrix.length).astype("<u4")
+                ids = matrix.whole().astype("<u4")
                 ends = np.cumsum(lengths)
                 begins = ends - lengths
                 crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]
