@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -372,6 +373,59 @@ def test_chat(spark):
     assert chat.read_chat(chat.format_chat(df.where("false"))).count() == 0
 
 
+def windows_by_hand(turns, budget, history, block):
+    """(first, last, repeated places, system turn repeated) of each window, turn by turn."""
+    tokens = [-(-len(text) // 4) + 1 for _, text in turns]
+    system = turns[0][0] == "system"
+    spare = max(1, budget - (tokens[0] if system else 0) - history)
+    starts, total = [], 0
+    for i, n in enumerate(tokens):
+        if i % block == 0 or total + n > spare:
+            starts.append(i)
+            total = 0
+        total += n
+    for first, after in zip(starts, [*starts[1:], len(turns)], strict=True):
+        back = first
+        while back > (1 if system else 0) and sum(tokens[back - 1 : first]) <= history:
+            back -= 1
+        yield first, after, [*([0] if system and first else []), *range(back, first)]
+
+
+@pytest.mark.parametrize("block", [40, 4096])
+def test_chat_windows(spark, monkeypatch, block):
+    """Choice of windows, repeats, mask and offsets of every window; one conversation holds most rows."""
+    monkeypatch.setattr(chat, "BLOCK", block)
+    r = random.Random(9)
+    rows = [(c, t, "system" if t == 0 and c % 2 else r.choice(["user", "assistant"]), "w" * r.choice([0, 3, 40, 90, 700])) for c in range(6) for t in range(400 if c == 1 else r.randint(1, 30))]
+    budget, history = 120, 35
+    got = {}
+    for x in chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget, history).collect():
+        got[x["conv_id"], x["window_id"]] = (x["formatted"], x["n_repeated"], [tuple(s) for s in x["loss"]])
+    want = {}
+    for c in range(6):
+        turns = [(role, text) for k, _, role, text in rows if k == c]
+        for first, after, repeated in windows_by_hand(turns, budget, history, block):
+            formatted, loss = "", []
+            for i in [*repeated, *range(first, after)]:
+                role, text = turns[i]
+                formatted += f"[INST]{role}[/INST]"
+                if i >= first and role == "assistant":
+                    loss.append((len(formatted), len(text)))
+                formatted += f"{text}</s>"
+            want[c, first] = (formatted, len(repeated), loss)
+    assert got == want
+
+
+def test_long_conversation(spark):
+    """10,000 turns and as many rows without an id; seconds, as no step is quadratic in them."""
+    began = time.time()
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 4 < 2, "user").otherwise("assistant").alias("role"), F.repeat(F.lit("some words "), (F.col("id") % 60).cast("int")).alias("text"))
+    windows = chat.format_chat(df)
+    read = {x["conv_id"]: x for x in chat.read_chat(windows).select("conv_id", F.size("turns").alias("n"), F.size("targets").alias("t")).collect()}
+    assert {k: (v["n"], v["t"]) for k, v in read.items()} == {7: (10_000, 5_000), None: (10_000, 5_000)}
+    assert time.time() - began < 100
+
+
 def test_inner_member_of_a_large_component(spark, monkeypatch):
     # 60 sets in a chain, each similar to its neighbours only, and strays that are similar to one inner member each; all share one bucket
     monkeypatch.setattr(neardup, "BLOCK_ROWS", 8)
