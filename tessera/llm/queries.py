@@ -23,7 +23,7 @@ def sha(text) -> F.Column:
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_novel", sha(F.col("base_spans")).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", sha(F.col("base_spans")).alias("base_sha256"), "spans", "n_novel")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
