@@ -46,17 +46,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id. Of rows with the same id one is left; null ids have no group and stay."""
-    found = order_minhash.near_duplicates(docs)
-    lost = materialize(found.where(~F.col("keep")).select("doc_id").distinct(), "lost")
-    left = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
-    again = materialize(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    """One document of each group of near-duplicates, that of the smallest key. A document is an id, which may be null, and a text: rows of one id with other texts are other documents, rows that share both are one, of which one row is left."""
+    key = _free_name(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), _text()))
+    found = order_minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    lost = materialize(found.where(~F.col("keep")).select(F.col("doc_id").alias(key)).distinct(), "lost")
+    left = keyed.join(lost, key, "left_anti")
+    again = materialize(keyed.groupBy(key).count().where("count > 1").select(key), "again")
     if again.isEmpty():
-        return left
-    # Only the rows of repeated ids are shuffled: one of each, by a hash of its text.
-    rest = left.join(again, "doc_id", "left_anti").select(*docs.columns)
-    twice = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(_text())).alias("row"))
-    return rest.unionByName(twice.select("row.*").select(*docs.columns))
+        return left.select(*docs.columns)
+    # Only repeated rows are shuffled: one of each.
+    rest = left.join(again, key, "left_anti").select(*docs.columns)
+    one = left.join(again, key, "left_semi").groupBy(key).agg(F.any_value(F.struct(*docs.columns)).alias("row"))
+    return rest.unionByName(one.select("row.*").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
