@@ -145,9 +145,13 @@ def _flat(df):
     return df.select("*", *(F.col("box")[k].alias(n) for k, n in enumerate(match.BOX)))
 
 
-@query()
+@query(f"""with recursive {BOX_SQL}, ov as (select a.brand, a.id as a, b.id as b from box a join box b on a.brand = b.brand and a.id <> b.id and a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1 where {IOU} > 0.2),
+o as (select brand, id, score, coalesce(foes, []) as foes, row_number() over (partition by brand order by score desc, id) as rn from box left join (select a as id, list(b) as foes from ov group by 1) using (id)),
+k as (select brand, 0::bigint as rn, null::bigint as id, null::double as score, false as keep, []::bigint[] as kept from (select distinct brand from o)
+  union all select o.brand, o.rn, o.id, o.score, not list_has_any(kept, foes), case when list_has_any(kept, foes) then kept else list_append(kept, o.id) end from k join o on o.brand = k.brand and o.rn = k.rn + 1)
+select brand, id, score from k where keep""")
 def n01_box_nms(spark, sf_dir):
-    return match.box_nms(boxes(spark, sf_dir), ["brand"], "id", 0.2, 64.0).where("keep").select("brand", "id", "score")
+    return match.box_nms(boxes(spark, sf_dir), ["brand"], "id", 0.2, 64.0, split=True).where("keep").select("brand", "id", "score")
 
 
 def scored_tracks(spark, sf_dir):
@@ -174,7 +178,16 @@ def j21_assignment(spark, sf_dir):
     return match.matched(gt, b.where("id % 2 = 1").withColumnRenamed("id", "dt_id"), ["brand"], "gt_id", "dt_id")
 
 
-@query()
+def match_sql(ignored: str) -> str:
+    """Matching by brand, one detection after another; ``ignored`` is said of truth ``a``."""
+    return f"""ov as (select a.brand, a.id as gt, b.id as dt, {ignored} as ignored, {IOU} as iou from box a join box b on a.brand = b.brand and a.id % 2 = 0 and b.id % 2 = 1 and a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1),
+t as (select unnest([0.1, 0.3, 0.5]::double[]) as iou_thr),
+dets as (select box.brand, box.id as dt, any_value(score) as score, iou_thr, row_number() over (partition by box.brand, iou_thr order by any_value(score) desc, box.id) as rn, coalesce(list({{'i': ignored, 'n': -iou, 'g': gt}} order by ignored, iou desc, gt) filter (iou >= iou_thr), []) as near from box cross join t left join ov on ov.brand = box.brand and ov.dt = box.id where box.id % 2 = 1 group by box.brand, box.id, iou_thr),
+m as (select brand, iou_thr, 0::bigint as rn, null::bigint as dt_id, null::double as score, null::struct(i boolean, n double, g bigint) as pick, []::bigint[] as taken from (select distinct brand, iou_thr from dets)
+  union all select brand, iou_thr, rn, dt, score, pick, case when pick is null then taken else list_append(taken, pick.g) end from (select d.*, m.taken, list_filter(d.near, lambda c: c.i or not list_contains(m.taken, c.g))[1] as pick from m join dets d on d.brand = m.brand and d.iou_thr = m.iou_thr and d.rn = m.rn + 1))"""
+
+
+@query(f"with recursive {BOX_SQL}, {match_sql('a.id % 10 = 0')} select brand, dt_id, score, iou_thr, pick is not null and not pick.i as matched, coalesce(pick.i, false) as ignored from m where rn > 0")
 def n04_coco_match(spark, sf_dir):
     b = _flat(boxes(spark, sf_dir)).drop("box")
     gt = b.where("id % 2 = 0").withColumnRenamed("id", "gt_id").withColumn("ignored", F.col("gt_id") % 10 == 0)

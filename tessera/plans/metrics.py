@@ -8,7 +8,7 @@ from tessera.functions import boxes as B
 from tessera.operators import match
 from tessera.operators import metrics as M
 from tessera.plans.common import query, r6, table
-from tessera.plans.geometry import _flat, boxes
+from tessera.plans.geometry import BOX_SQL, _flat, boxes, match_sql
 
 KEYS_SQL = """keys as (select l_orderkey as key, t.thr as iou_thr, count(*) filter (l_returnflag = 'R') as n_gt, count(*) filter (l_linestatus = 'F') as n_dt,
  count(*) filter (l_returnflag = 'R' and l_linestatus = 'F' and l_quantity / 50 >= t.thr) as tp from lineitem, (select 0.5::double + 0.05::double * k as thr from range(10) r(k)) t group by 1, 2)"""
@@ -136,7 +136,11 @@ def a21_teta(spark, sf_dir):
     return M.teta(parts).select("iou_thr", *(F.round(c, 5).alias(c) for c in ("loc_a", "cls_a", "assoc_a", "teta")))
 
 
-@query()
+@query(f"""with recursive {BOX_SQL}, {match_sql('false')}, n as (select brand, count(*) as n from box where id % 2 = 0 group by 1),
+r as (select brand, iou_thr, pick is not null as hit, row_number() over w as k, sum((pick is not null)::int) over w as tp from m where rn > 0 window w as (partition by brand, iou_thr order by score desc, dt_id)),
+b as (select brand, iou_thr, floor(tp / n * 100 + 1e-9) as r, max(tp / k) as p from r join n using (brand) where hit group by all),
+c as (select *, max(p) over (partition by brand, iou_thr order by r desc) as best, r - coalesce(lead(r) over (partition by brand, iou_thr order by r desc), -1) as w from b)
+select brand, iou_thr, round(coalesce(sum(best * w) / 101, 0), 6) as ap from (select distinct brand, iou_thr from r) join n using (brand) left join c using (brand, iou_thr) group by all""")
 def a22_coco_ap(spark, sf_dir):
     """Greedy matching per brand, then average precision per threshold."""
     b = _flat(boxes(spark, sf_dir)).drop("box")
