@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import annotations, enrichment, geometry, masks, media, metrics, records, scoring, sessions, tracking  # noqa: F401  (registers)
+from tessera.plans import annotations, augment, enrichment, geometry, masks, media, metrics, records, scoring, sessions, tracking  # noqa: F401  (registers)
 from tessera.plans.common import ORACLES, QUERIES
 
 
