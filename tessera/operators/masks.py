@@ -225,19 +225,40 @@ def polygon_runs(df: DataFrame, keys: Sequence[str], parts: str, height: int, wi
     and between an odd crossing and the next one lies the inside. Parts of
     fewer than three corners have none; what is outside the image is cut off.
     """
+    return _polygon_rows(df, keys, parts, F.lit(height), F.lit(width))
+
+
+def _polygon_rows(df: DataFrame, keys: Sequence[str], parts: str, height: Column, width: Column) -> DataFrame:
+    df = df.select(*keys, parts, height.alias("__h"), width.alias("__w"))
+    height, width = F.col("__h"), F.col("__w")
+    keys, given = [*keys, "__h", "__w"], keys
     each = df.select(*keys, F.posexplode(parts).alias("part", "p")).where(F.size("p") >= 6)
     n = (F.size("p") / 2).cast("int")
     at = lambda i, k: F.get("p", (i % n) * 2 + k).cast("double")
     edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(at(i, 0).alias("x1"), at(i, 1).alias("y1"), at(i + 1, 0).alias("x2"), at(i + 1, 1).alias("y2")))
     each = each.select(*keys, "part", F.explode(edges).alias("e")).select(*keys, "part", "e.*")
     first = F.greatest(F.ceil(F.least("x1", "x2") - 0.5), F.lit(0))
-    last = F.least(F.ceil(F.greatest("x1", "x2") - 0.5) - 1, F.lit(width - 1))
+    last = F.least(F.ceil(F.greatest("x1", "x2") - 0.5) - 1, width - 1)
     each = each.where(first <= last).withColumn("x", F.explode(F.sequence(first, last)))
     y = F.col("y1") + (F.col("x") + 0.5 - F.col("x1")) * (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    row = F.least(F.greatest(F.ceil(y - 0.5), F.lit(0)), F.lit(height))
+    row = F.least(F.greatest(F.ceil(y - 0.5), F.lit(0)), height)
     w = W.partitionBy(*keys, "part", "x").orderBy("y0")
     pairs = each.select(*keys, "part", "x", row.alias("y0")).select(*keys, "x", "y0", F.lead("y0").over(w).alias("y1"), F.row_number().over(w).alias("k")).where("k % 2 = 1 and y0 < y1")
-    return united(pairs.select(*keys, (F.col("x") * height + F.col("y0")).alias("start"), (F.col("x") * height + F.col("y1")).alias("stop")), keys)
+    return united(pairs.select(*given, (F.col("x") * height + F.col("y0")).alias("start"), (F.col("x") * height + F.col("y1")).alias("stop")), given)
+
+
+def segmentation_runs(annotations: DataFrame, keys: Sequence[str], text: str = "segmentation") -> DataFrame:
+    """``keys, start, stop`` of annotations whose JSON ``text`` holds polygons, run lengths or their text form, in an image of ``height`` and ``width``.
+
+    Polygons are filled for each size of image that occurs, as rows. Null, empty and unreadable texts have no pixels.
+    """
+    said = annotations.select(*keys, "height", "width", F.trim(text).alias("said")).where("said is not null")
+    parts = F.from_json("said", "array<array<double>>")
+    drawn = said.where(F.col("said").startswith("[")).select(*keys, "height", "width", parts.alias("parts"))
+    rle = said.where(F.col("said").startswith("{")).select(*keys, F.from_json("said", "counts string").alias("r")).select(*keys, F.col("r.counts").alias("counts"))
+    listed = rle.where(F.col("counts").startswith("[")).select(*keys, F.from_json("counts", "array<bigint>").alias("counts"))
+    coded = decompressed(rle.where(~F.col("counts").startswith("[")), keys, "counts")
+    return _polygon_rows(drawn, keys, "parts", F.col("height").cast(LONG), F.col("width").cast(LONG)).unionByName(mask_runs(listed.unionByName(coded), keys))
 
 
 # The text form keeps five bits a letter from this one on, 32 marks a letter that is not a number's last.

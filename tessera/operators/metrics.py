@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.operators.match import assign
+from tessera.operators.match import assign, coco_match
 from tessera.operators.rank import global_rank
 
 # The metrics' thresholds and constants.
@@ -75,6 +75,36 @@ def average_precision(dets: DataFrame, truths: DataFrame, group: list[str]) -> D
     return ranked.select(*group).distinct().join(truths.select(*group), group).join(ap, group, "left").withColumn("ap", F.coalesce("ap", F.lit(0.0)))
 
 
+# The area ranges, in pixels, the end not included.
+AREA_RANGES = {"all": (0.0, 1e10), "small": (0.0, 128.0**2), "medium": (128.0**2, 256.0**2), "large": (256.0**2, 1e10)}
+
+
+def ap_by_area(gt: DataFrame, dt: DataFrame, image: list[str], thresholds: list[float], ranges: dict[str, tuple[float, float]] = AREA_RANGES, max_dets: tuple[int | None, ...] = (100,), cell: float = 64.0) -> DataFrame:
+    """``area_range, max_det, iou_thr, truths, ap``: one table of the average precision over area ranges and numbers of detections an image.
+
+    Truth outside a range is ignored, as are detections outside it that match
+    nothing; what matches ignored truth counts neither way. Ranges are a key of
+    the matching, so all of them are matched at once. A range without truth has an ``ap`` of -1.
+    """
+    spans = F.explode(F.array(*(F.struct(F.lit(name).alias("area_range"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for name, (lo, hi) in ranges.items())))
+    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+    ranged = lambda df: df.withColumn("r", spans).select(*df.columns, "r.*").withColumn("out", (area < F.col("lo")) | (area >= F.col("hi")))
+    truth = ranged(gt).withColumn("ignored", F.col("ignored") | F.col("out")).drop("lo", "hi", "out")
+    found = ranged(dt).drop("lo", "hi")
+    n = truth.where(~F.col("ignored")).groupBy("area_range").agg(F.count("*").alias("n"))
+    names = dt.sparkSession.createDataFrame([(k,) for k in ranges], "area_range string")
+    out = None
+    for most in max_dets:
+        met = coco_match(truth, found.drop("out"), [*image, "area_range"], thresholds, most, cell)
+        counted = met.join(found.select(*image, "area_range", "dt_id", "out"), [*image, "area_range", "dt_id"]).where(~F.col("ignored") & (F.col("matched") | ~F.col("out")))
+        one = counted.select("area_range", "iou_thr", "score", F.struct(*image, "dt_id").alias("dt_id"), "matched")
+        each = names.crossJoin(dt.sparkSession.createDataFrame([(float(t),) for t in thresholds], "iou_thr double")).join(n, "area_range", "left")
+        ap = average_precision(one, each.where("n > 0"), ["area_range", "iou_thr"])
+        row = each.join(ap, ["area_range", "iou_thr"], "left").select("area_range", F.lit(most).cast("long").alias("max_det"), "iou_thr", F.coalesce("n", F.lit(0)).cast("long").alias("truths"), F.when(F.col("n") > 0, F.coalesce("ap", F.lit(0.0))).otherwise(F.lit(-1.0)).alias("ap"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def weighted(value: str, weight: str) -> Column:
     return F.sum(F.col(value) * F.col(weight)) / F.greatest(F.lit(1.0), F.sum(weight).cast("double"))
 

@@ -8,7 +8,7 @@ from tessera.functions import boxes as B
 from tessera.operators import match
 from tessera.operators import metrics as M
 from tessera.plans.common import query, r6, table
-from tessera.plans.geometry import BOX_SQL, _flat, boxes, match_sql
+from tessera.plans.geometry import BOX_SQL, IOU, _flat, boxes, match_sql
 
 KEYS_SQL = """keys as (select l_orderkey as key, t.thr as iou_thr, count(*) filter (l_returnflag = 'R') as n_gt, count(*) filter (l_linestatus = 'F') as n_dt,
  count(*) filter (l_returnflag = 'R' and l_linestatus = 'F' and l_quantity / 50 >= t.thr) as tp from lineitem, (select 0.5::double + 0.05::double * k as thr from range(10) r(k)) t group by 1, 2)"""
@@ -136,6 +136,30 @@ def a21_teta(spark, sf_dir):
     return M.teta(parts).select("iou_thr", *(F.round(c, 5).alias(c) for c in ("loc_a", "cls_a", "assoc_a", "teta")))
 
 
+_RANGES = {"all": (0.0, 1e10), "small": (0.0, 1500.0), "medium": (1500.0, 3000.0), "large": (3000.0, 1e10), "none": (1e9, 1e10)}
+
+
+@query(f"""with recursive {BOX_SQL}, g(area_range, lo, hi) as (values {", ".join(f"('{k}', {lo}::double, {hi}::double)" for k, (lo, hi) in _RANGES.items())}),
+rb as (select box.*, area_range, (x1 - x0) * (y1 - y0) < lo or (x1 - x0) * (y1 - y0) >= hi as outside from box, g),
+ov as (select a.brand, a.area_range, a.id as gt, b.id as dt, a.id % 10 = 0 or a.outside as ignored, {IOU} as iou from rb a join rb b on a.brand = b.brand and a.area_range = b.area_range and a.id % 2 = 0 and b.id % 2 = 1 and a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1),
+t as (select unnest([0.1, 0.3]::double[]) as iou_thr), l(max_det) as (values (20::bigint), (null)),
+dets as (select rb.brand, rb.area_range, rb.id as dt, outside, score, iou_thr, row_number() over (partition by rb.brand, rb.area_range, iou_thr order by score desc, rb.id) as rn, coalesce(list({{'i': ignored, 'n': -iou, 'g': gt}} order by ignored, iou desc, gt) filter (iou >= iou_thr), []) as near from rb cross join t left join ov on ov.brand = rb.brand and ov.area_range = rb.area_range and ov.dt = rb.id where rb.id % 2 = 1 group by rb.brand, rb.area_range, rb.id, outside, score, iou_thr),
+m as (select brand, area_range, iou_thr, 0::bigint as rn, null::bigint as dt_id, null::boolean as outside, null::double as score, null::struct(i boolean, n double, g bigint) as pick, []::bigint[] as taken from (select distinct brand, area_range, iou_thr from dets)
+  union all select brand, area_range, iou_thr, rn, dt, outside, score, pick, case when pick is null then taken else list_append(taken, pick.g) end from (select d.*, m.taken, list_filter(d.near, lambda c: c.i or not list_contains(m.taken, c.g))[1] as pick from m join dets d on d.brand = m.brand and d.area_range = m.area_range and d.iou_thr = m.iou_thr and d.rn = m.rn + 1)),
+n as (select area_range, count(*) filter (not (id % 10 = 0 or outside)) as n from rb where id % 2 = 0 group by 1),
+r as (select area_range, max_det, iou_thr, pick is not null as hit, row_number() over w as k, sum((pick is not null)::int) over w as tp from m, l where rn > 0 and rn <= coalesce(max_det, rn) and not coalesce(pick.i, false) and (pick is not null or not outside) window w as (partition by area_range, max_det, iou_thr order by score desc, brand, dt_id)),
+b as (select area_range, max_det, iou_thr, floor(tp / n * 100 + 1e-9) as r, max(tp / k) as p from r join n using (area_range) where hit group by all),
+c as (select *, max(p) over (partition by area_range, max_det, iou_thr order by r desc) as best, r - coalesce(lead(r) over (partition by area_range, max_det, iou_thr order by r desc), -1) as w from b),
+a as (select area_range, max_det, iou_thr, sum(best * w) / 101 as ap from c group by all)
+select n.area_range, l.max_det, t.iou_thr, n.n as truths, case when n.n > 0 then round(coalesce(ap, 0), 6) else -1 end as ap from n cross join l cross join t left join a on a.area_range = n.area_range and a.max_det is not distinct from l.max_det and a.iou_thr = t.iou_thr""")
+def a22_ap_by_area(spark, sf_dir):
+    """Average precision over area ranges and limits of detections, as one table."""
+    b = _flat(boxes(spark, sf_dir)).drop("box")
+    gt = b.where("id % 2 = 0").withColumnRenamed("id", "gt_id").withColumn("ignored", F.col("gt_id") % 10 == 0)
+    out = M.ap_by_area(gt, b.where("id % 2 = 1").withColumnRenamed("id", "dt_id"), ["brand"], [0.1, 0.3], _RANGES, (20, None))
+    return out.withColumn("ap", r6("ap"))
+
+
 @query(f"""with recursive {BOX_SQL}, {match_sql('false')}, n as (select brand, count(*) as n from box where id % 2 = 0 group by 1),
 r as (select brand, iou_thr, pick is not null as hit, row_number() over w as k, sum((pick is not null)::int) over w as tp from m where rn > 0 window w as (partition by brand, iou_thr order by score desc, dt_id)),
 b as (select brand, iou_thr, floor(tp / n * 100 + 1e-9) as r, max(tp / k) as p from r join n using (brand) where hit group by all),

@@ -108,14 +108,20 @@ def last_record(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return last.select("file", *(F.get_json_object("line", f"$.{k}").alias(k) for k in keys))
 
 
-COCO = "images array<struct<id: bigint, width: int, height: int, file_name: string>>, annotations array<struct<id: bigint, image_id: bigint, category_id: bigint, bbox: array<double>, area: double, iscrowd: int>>, categories array<struct<id: bigint, name: string>>"
-VIDEO = "videos array<struct<id: bigint, width: int, height: int, length: int, file_names: array<string>>>, annotations array<struct<id: bigint, video_id: bigint, category_id: bigint, bboxes: array<array<double>>, areas: array<double>>>, categories array<struct<id: bigint, name: string>>, video_np_pairs array<struct<video_id: bigint, category_id: bigint, noun_phrase: string>>"
+COCO = "images array<struct<id: bigint, width: int, height: int, file_name: string>>, annotations array<struct<id: bigint, image_id: bigint, category_id: bigint, bbox: array<double>, area: double, iscrowd: int, segmentation: string>>, categories array<struct<id: bigint, name: string>>, info string, licenses string"
+VIDEO = "videos array<struct<id: bigint, width: int, height: int, length: int, file_names: array<string>>>, annotations array<struct<id: bigint, video_id: bigint, category_id: bigint, bboxes: array<array<double>>, areas: array<double>>>, categories array<struct<id: bigint, name: string>>, video_np_pairs array<struct<video_id: bigint, category_id: bigint, noun_phrase: string>>, info string, licenses string"
 
 
 def read_annotation_tables(spark: SparkSession, path: str, schema: str = COCO) -> dict[str, DataFrame]:
-    """One table for each top-level key of annotation documents, with the file's stem."""
+    """One table for each top-level key of annotation documents, with the file's stem.
+
+    A segmentation stays the JSON text it is, polygons or run lengths (``operators.masks.segmentation_runs`` reads either); so do
+    ``info`` and ``licenses``, a row a document.
+    """
     raw = spark.read.schema(schema).json(path, multiLine=True).withColumn("stem", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""))
-    return {key: raw.select("stem", F.explode(key).alias("r")).select("stem", "r.*") for key in raw.columns if key != "stem"}
+    texts = {f.name for f in raw.schema if f.dataType.simpleString() == "string"} - {"stem"}
+    tables = {key: raw.select("stem", F.explode(key).alias("r")).select("stem", "r.*") for key in raw.columns if key not in texts and key != "stem"}
+    return tables | {key: raw.select("stem", key).where(F.col(key).isNotNull()) for key in texts}
 
 
 def checked_video_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:

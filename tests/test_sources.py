@@ -52,6 +52,24 @@ def test_annotation_documents(spark, folder):
     assert t["annotations"].first()["image_id"] == 1 and t["images"].first()["stem"] == "x"
 
 
+def test_segmentations_of_three_forms(spark, folder):
+    """A square of 2 by 2 in an image of 3 rows and 4 columns, as polygon, run lengths and text; info and licenses stay as they are."""
+    from tessera.operators import masks
+
+    square = [4, 2, 1, 2, 3]
+    forms = {1: [[1, 1, 3, 1, 3, 3, 1, 3]], 2: {"size": [3, 4], "counts": square}, 3: {"size": [3, 4], "counts": "42107"}, 4: None, 5: [], 6: [[0, 0, 1, 0, 1, 1, 0, 1], [3, 2, 4, 2, 4, 3, 3, 3]]}
+    coded = spark.createDataFrame([(square,)], "c array<bigint>").select(masks.compressed(F.col("c"))).first()[0]
+    forms[3]["counts"] = coded
+    doc = {"info": {"year": 2024}, "licenses": [{"id": 1}], "images": [{"id": 1, "width": 4, "height": 3, "file_name": "a"}], "annotations": [{"id": k, "image_id": 1, "category_id": 2, "bbox": [1, 1, 2, 2], "area": 4.0, "iscrowd": 0, "segmentation": s} for k, s in forms.items()], "categories": []}
+    open(f"{folder}/x.json", "w").write(json.dumps(doc))
+    t = io.read_annotation_tables(spark, f"{folder}/x.json")
+    assert json.loads(t["info"].first()["info"]) == {"year": 2024} and json.loads(t["licenses"].first()["licenses"]) == [{"id": 1}]
+    sizes = t["images"].select(F.col("id").alias("image_id"), "height", "width")
+    rows = masks.segmentation_runs(t["annotations"].join(sizes, "image_id"), ["id"]).collect()
+    got = {k: sorted((r["start"], r["stop"]) for r in rows if r["id"] == k) for k in forms}
+    assert got == {1: [(4, 6), (7, 9)], 2: [(4, 6), (7, 9)], 3: [(4, 6), (7, 9)], 4: [], 5: [], 6: [(0, 1), (11, 12)]}
+
+
 def test_last_record_skips_broken_lines(spark, folder):
     open(f"{folder}/a.jsonl", "w").write('{"m": 1}\n{"m": 2}\nbroken\n')
     assert [(r["file"], r["m"]) for r in io.last_record(spark, f"{folder}/*.jsonl", ["m"]).collect()] == [("a.jsonl", "2")]
