@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import unicodedata
 from array import array
 from functools import cache
 
+import pyarrow as pa
+
 #: Letters at the start of a piece, but for numerals that are no digits.
 _HEAD = re.compile(r"[^\W\d_]+")
 
@@ -117,6 +120,14 @@ class PieceEncoder:
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
+def release() -> None:
+    """Lets go of what this Python worker has kept for tokenizing: workers are reused, and stages that don't tokenize need the memory."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()  # an encoder and its cache hold each other
+        pa.default_memory_pool().release_unused()
+
+
 def encoder(path: str, white_space_has_tokens: bool) -> PieceEncoder:
     """One encoder for each vocabulary and Python worker."""
     key = (path, white_space_has_tokens)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import encoding
 from . import textkeys as K
 from .neardup import Content, near_links, shared_buckets
 from .storage import materialize
@@ -138,6 +139,7 @@ def line_bands(docs: DataFrame, least: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding.release()
         for batch in batches:
             for part, _, _ in K.pieces(batch, "text", 1 << 19):
                 places, lines = [], []

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import encoding
 from .storage import materialize, text_or_empty
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -203,9 +204,10 @@ def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
     schema = df.drop(score_col).schema.add(score_col, "double") if keep else "doc_id long, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding.release()
         lexicon, beta = Lexicon(model.terms), np.array(model.beta)
         for batch in batches:
-            x = np.array([features(t or "", lexicon) for t in batch.column(text_at).to_pylist()]).reshape(-1, N_FEATURES)
+            x = np.array([features(t.as_py() or "", lexicon) for t in batch.column(text_at)]).reshape(-1, N_FEATURES)
             scores = pa.array(1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30))), pa.float64())
             held = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if (keep and n != score_col) or n == "doc_id"]
             yield pa.RecordBatch.from_arrays([*(c for _, c in held), scores], names=[*(n for n, _ in held), score_col if keep else "score"])
