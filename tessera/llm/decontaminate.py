@@ -69,7 +69,13 @@ def hit_windows(docs: DataFrame, items: DataFrame, window: int, size: int) -> Da
     ranked = grams.join(near(materialize(counts, "counts"), 48 * n_rows), "token", "left")
     rarest = ranked.groupBy("item", "iwords", "m", "s").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token", "q")).alias("r")).where("r.n > 0")
     anchors = materialize(rarest.groupBy(F.col("r.token").alias("token"), "item", "iwords", "m", F.col("r.q").alias("q")).agg(F.sort_array(F.collect_list("s")).alias("ss")), "anchors")
-    met = tokens.join(near(anchors, n_bytes), "token")
+    if n_bytes <= BROADCAST_BYTES:
+        met = tokens.join(F.broadcast(anchors), "token")
+    else:
+        # Shuffled, a shingle goes without its document's words; only what meets a window gets them.
+        met = tokens.drop("words").join(anchors, "token").withColumnsRenamed({"doc_id": "of", "text_key": "of_key"})
+        words = docs.select("doc_id", "text_key", "words").dropDuplicates(["doc_id", "text_key"])
+        met = words.join(met, words["doc_id"].eqNullSafe(met["of"]) & (words["text_key"] == met["of_key"])).drop("of", "of_key")
     begins = lambda s: F.col("p") - F.col("q") + s
     same = lambda s: (begins(s) >= 0) & (begins(s) + F.col("m") <= F.size("words")) & (F.slice("words", begins(s) + 1, F.col("m")) == F.slice("iwords", s + 1, F.col("m")))
     found = met.select("doc_id", "text_key", "item", "m", F.explode(F.transform(F.filter("ss", same), begins)).alias("at"))

@@ -35,7 +35,9 @@ def sketch(keys: np.ndarray) -> np.ndarray:
     if len(keys) <= TAKEN:
         chosen = keys[None]
     else:
-        place = np.argpartition(keys[None] * _ODD[:, None], TAKEN - 1, axis=1)[:, :TAKEN]
+        # A few entries at a time: the products of a very long text with all of them would be many times its size.
+        some = max(1, (1 << 20) // len(keys))
+        place = np.concatenate([np.argpartition(keys[None] * _ODD[i : i + some, None], TAKEN - 1, axis=1)[:, :TAKEN] for i in range(0, ENTRIES, some)])
         place.sort(axis=1)
         chosen = keys[place]
     bucket = np.arange(len(chosen), dtype=np.uint64)
