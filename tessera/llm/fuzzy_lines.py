@@ -21,6 +21,7 @@ from . import encoding
 from . import textkeys as K
 from .neardup import Content, near_links, shared_buckets
 from .storage import materialize
+from .workers import trim
 
 CHARS = 8
 SIMILARITY = 0.8
@@ -157,6 +158,7 @@ def line_bands(docs: DataFrame, least: int) -> DataFrame:
                 ends = np.cumsum([0] + [BANDS if len(x) >= CHARS else 0 for x in lines])
                 bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(no, pa.int32()), pa.array([line_id(x) for x in lines], pa.int64()), pa.array([max(len(x) - CHARS + 1, 0) for x in lines], pa.int32()), bands], names=["doc_id", "row", "line_no", "id", "n", "bands"])
+        trim()
 
     return docs.mapInArrow(run, "doc_id long, row long, line_no int, id long, n int, bands array<int>")
 

@@ -22,6 +22,7 @@ from . import textkeys as K
 from .components import components
 from .neardup import Content, near_links, shared_buckets
 from .storage import materialize, text_or_empty
+from .workers import trim
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -97,6 +98,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 same = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(words_at[:-1], words_at[1:], strict=True)]
                 buckets = [sketch(keys[a:b]) if b > a else np.zeros(0, np.int64) for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at)), pa.array(same, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))], names=["doc_id", "n", "same", "buckets"])
+        trim()
 
     return docs.mapInArrow(run, "doc_id long, n long, same binary, buckets array<long>")
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from . import encoding
 from .storage import materialize, text_or_empty
+from .workers import trim
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Least letters of a term that is known by a misspelling: one edit turns shorter ones into any word.
@@ -211,6 +212,8 @@ def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
             scores = pa.array(1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30))), pa.float64())
             held = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if (keep and n != score_col) or n == "doc_id"]
             yield pa.RecordBatch.from_arrays([*(c for _, c in held), scores], names=[*(n for n, _ in held), score_col if keep else "score"])
+        lexicon.kept.clear()
+        trim()
 
     return rows.mapInArrow(score, schema)
 
