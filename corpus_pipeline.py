@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.llm import decontaminate, fuzzy_lines, order_minhash, packing, toxicity
 from tessera.llm.queries import vocabulary
 from tessera.llm.storage import materialize, table
+from tessera.llm.workers import texts_in_small_batches
 
 #: Documents of at least this toxicity score are rejected.
 TOXIC = 0.3
@@ -32,6 +33,7 @@ def _text() -> Column:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows whose own text scores below TOXIC; of rows with one id each is judged by itself."""
+    texts_in_small_batches(spark)
     score = _free_name(docs, "score")
     scored = toxicity.score_toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")), keep=True, score_col=score)
     return scored.where(F.col(score) < TOXIC).select(*docs.columns)
@@ -39,6 +41,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows without the lines that stand before, in them or in others; rows of which only blank lines are left go. ``n_chars``, if there, is counted anew."""
+    texts_in_small_batches(spark)
     left = fuzzy_lines.without_repeated_lines(docs)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -47,6 +50,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest key. A document is an id, which may be null, and a text: rows of one id with other texts are other documents, rows that share both are one, of which one row is left."""
+    texts_in_small_batches(spark)
     key = _free_name(docs, "key")
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), _text()))
     found = order_minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
@@ -63,6 +67,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows whose own text holds no window of a benchmark item; of rows with one id each is judged by itself."""
+    texts_in_small_batches(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
     hit = found.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
     same = docs["doc_id"].cast("long").eqNullSafe(hit["hit_id"]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == hit["hit_key"])
@@ -71,6 +76,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows' token ids in pieces, with the place of each in a sequence of 2048; repeated rows are packed each."""
+    texts_in_small_batches(spark)
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
 
 
