@@ -202,3 +202,22 @@ select id, round(px, 6) as px, round(py, 6) as py, round(least(a, c), 6) as x0,
 def f15_points_and_noise(spark, sf_dir):
     d = boxes(spark, sf_dir).select("id", sampling.point_in(F.col("box"), 15, F.col("id")).alias("p"), sampling.noisy_box(F.col("box"), 0.1, 5.0, 16, F.col("id")).alias("n"))
     return d.select("id", *(r6(F.col("p")[i]).alias(c) for i, c in enumerate(("px", "py"))), *(r6(F.col("n")[i]).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))
+
+
+_COST_SQL = f"""c as (select b.id as target, a.id as pred, a.id // 8 as image,
+  2 * -(((a.id * (7 + b.id % 3)) % 10) / 10.0::double) + 5 * (abs(a.x0 + a.x1 - b.x0 - b.x1) / 2 + abs(a.y0 + a.y1 - b.y0 - b.y1) / 2 + abs(a.x1 - a.x0 - b.x1 + b.x0) + abs(a.y1 - a.y0 - b.y1 + b.y0)) / 1000 - 2 * ({IOU} - ({HULL} - ({AREA.format('a')} + {AREA.format('b')} - {INTER})) / {HULL}) as cost
+  from box a join box b on a.id // 8 = b.id // 8 and a.id % 8 >= 3 and b.id % 8 < 3)"""
+
+
+@query(f"""with recursive {BOX_SQL}, {_COST_SQL}, t as (select distinct image, target, dense_rank() over (partition by image order by target) as k from c),
+r as (select image, 0::bigint as k, []::bigint[] as preds, []::bigint[] as targets, 0::double as total, []::double[] as costs from (select distinct image from c)
+  union all select r.image, t.k, list_append(preds, c.pred), list_append(targets, t.target), total + c.cost, list_append(costs, c.cost) from r join t on t.image = r.image and t.k = r.k + 1 join c on c.image = r.image and c.target = t.target and not list_contains(r.preds, c.pred)),
+w as (select image, arg_min({{'p': preds, 't': targets, 'c': costs}}, total) as x from r where k = (select max(k) from t where t.image = r.image) group by image)
+select image, unnest(x.p) as pred_id, unnest(x.t) as target_id, round(unnest(x.c), 6) as cost from w""")
+def j24_cost_match(spark, sf_dir):
+    """Predictions and targets of an image, five and three, matched by class, box distance and generalised IoU."""
+    b = boxes(spark, sf_dir).withColumn("image", F.floor(F.col("id") / 8)).withColumn("box", F.transform(B.xyxy_to_cxcywh(F.col("box")), lambda v: v / 1000))
+    probs = F.array(*(((F.col("id") * (7 + k)) % 10) / 10.0 for k in range(3)))
+    preds = b.where("id % 8 >= 3").select("image", F.col("id").alias("pred_id"), probs.alias("probs"), "box")
+    targets = b.where("id % 8 < 3").select("image", F.col("id").alias("target_id"), (F.col("id") % 3).cast("int").alias("label"), "box")
+    return match.cost_matched(preds, targets, ["image"], 2.0, 5.0, 2.0).withColumn("cost", r6("cost"))

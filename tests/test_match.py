@@ -97,3 +97,32 @@ def test_single_refuses_several_rows(spark):
     assert [tuple(r) for r in annotations.single(rows.where("k = 1"), ["k"]).collect()] == [(1, "x", 1)]
     with pytest.raises(Exception, match="several rows of 2"):
         annotations.single(rows, ["k"]).collect()
+
+
+def test_cost_matching_against_all_assignments(spark):
+    """Both class costs, more targets than predictions, images of one side only."""
+    import itertools
+
+    r = np.random.default_rng(4)
+    box = lambda: [*r.uniform(0.2, 0.8, 2).tolist(), *r.uniform(0.1, 0.4, 2).tolist()]
+    sizes = [(4, 3), (2, 4), (0, 2), (3, 0), (1, 1)]
+    preds = [(i, k, r.uniform(0, 1, 3).tolist(), box()) for i, (n, _) in enumerate(sizes) for k in range(n)]
+    targets = [(i, k, int(r.integers(3)), box()) for i, (_, n) in enumerate(sizes) for k in range(n)]
+    p = spark.createDataFrame(preds, "image long, pred_id long, probs array<double>, box array<double>")
+    t = spark.createDataFrame(targets, "image long, target_id long, label int, box array<double>")
+    for focal in (False, True):
+        out = match.cost_matched(p, t, ["image"], 1.0, 2.0, 3.0, focal).collect()
+        for i, (n, m) in enumerate(sizes):
+            mine = [x for x in out if x["image"] == i]
+            assert len(mine) == min(n, m)
+            corners = lambda b: np.array([[b[0] - b[2] / 2, b[1] - b[3] / 2, b[0] + b[2] / 2, b[1] + b[3] / 2]])
+
+            def cost(a, b):
+                c = a[2][b[2]]
+                by_class = 0.25 * (1 - c) ** 2 * -np.log(c + 1e-8) - 0.75 * c**2 * -np.log(1 - c + 1e-8) if focal else -c
+                return by_class + 2 * sum(abs(x - y) for x, y in zip(a[3], b[3], strict=True)) - 3 * match.giou_matrix(corners(a[3]), corners(b[3]))[0, 0]
+
+            ps, ts = [x for x in preds if x[0] == i], [x for x in targets if x[0] == i]
+            few, many, flip = (ps, ts, False) if n <= m else (ts, ps, True)
+            best = min((sum(cost(*((b, a) if flip else (a, b))) for a, b in zip(few, chosen, strict=True)) for chosen in itertools.permutations(many, len(few))), default=0)
+            assert abs(sum(x["cost"] for x in mine) - best) < 1e-9
