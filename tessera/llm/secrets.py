@@ -10,6 +10,7 @@ bytes, a random string adds nearly its own information.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,39 +47,59 @@ class Novelty:
     min_ratio: float = 0.55
 
 
-#: Rows whose identifiers are counted, the least share of them that an identifier must stand in, and most identifiers taken.
-SAMPLE_ROWS, COMMON_SHARE, MOST_IDENTIFIERS = 2000, 0.01, 2000
+#: The least share of the different texts that an identifier must stand in, and most identifiers taken.
+COMMON_SHARE, MOST_IDENTIFIERS = 0.01, 2000
+#: Most words that a task counts before it passes them on, and most digests of repeated texts sent to all executors.
+HELD_WORDS, BROADCAST_TEXTS = 1 << 17, 1_000_000
 WORD = re.compile(r"\b[A-Za-z_][A-Za-z0-9_]{2,39}\b", re.A)
 #: Long identifiers made of words: small letters, three at least, parted by underscores or capitals.
 WORDS = re.compile(r"_*[A-Z]?[a-z]{3,}(?:_+[A-Z]?[a-z]{3,}|[A-Z][a-z]{2,})*_*|_*[A-Z]{3,}(?:_+[A-Z]{3,})*_*")
 
 
+def each_text_once(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``text`` of the different texts that aren't empty, and their number; only texts that stand more than once are gathered."""
+    key = F.xxhash64("text").alias("key")
+    texts = docs.where("text <> ''").select("text", key)
+    keys = materialize(texts.groupBy("key").agg(F.count("*").alias("n")), "keys")
+    repeated = keys.where("n > 1").select("key")
+    if repeated.count() <= BROADCAST_TEXTS:
+        repeated = F.broadcast(repeated)
+    copies = texts.join(repeated, "key", "left_semi").select("text").distinct()
+    return texts.join(repeated, "key", "left_anti").select("text").unionAll(copies), keys.count()
+
+
 def common_identifiers(docs: DataFrame, novelty: Novelty = Novelty()) -> list[str]:
-    """Words and identifiers of 3 to 40 characters that many of a bounded sample of ``docs(text)`` hold, commonest last, where a compressor reaches them at the least cost.
+    """Words and identifiers of 3 to 40 characters that many of all the different texts of ``docs(text)`` hold, commonest last, where a compressor reaches them at the least cost.
 
-    The sample is chosen by the texts' hash, and of equal texts one is taken.
     What could be reported as a secret is never taken, however often it
     stands: a string of ``min_chars`` or more counts only if it is made of
-    words and none of the sampled texts has it near a sensitive word.
+    words and no text has it near a sensitive word.
     """
-    key = F.xxhash64("text").alias("key")
-    chosen = docs.where("text <> ''").select(key).distinct().orderBy("key").limit(SAMPLE_ROWS)
-    sample = materialize(docs.join(F.broadcast(chosen), F.xxhash64("text") == F.col("key"), "left_semi").dropDuplicates(["text"]).select("text"), "sample")
+    texts, number = each_text_once(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        reached: set[str] = set()
+
+        def counted() -> pa.RecordBatch:
+            words = [w for w in counts if len(w) < novelty.min_chars or WORDS.fullmatch(w)]
+            columns = [pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64()), pa.array([w in reached for w in words], pa.bool_())]
+            return pa.RecordBatch.from_arrays(columns, names=["word", "n", "suspect"])
+
         for batch in batches:
-            words, near = [], []
             for text in batch.column("text").to_pylist():
-                reached = set()
+                counts.update(set(WORD.findall(text)))
                 for m in SENSITIVE_RE.finditer(text):
-                    reached.update(WORD.findall(text[max(0, m.start() - novelty.reach - 40) : m.end() + novelty.reach + 40]))
-                for word in set(WORD.findall(text)):
-                    words.append(word)
-                    near.append(len(word) >= novelty.min_chars and (word in reached or not WORDS.fullmatch(word)))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(near, pa.bool_())], names=["word", "suspect"])
-
-    words = sample.mapInArrow(run, "word string, suspect boolean").groupBy("word").agg(F.count("*").alias("n"), F.max("suspect").alias("suspect"))
-    often = words.where(~F.col("suspect") & (F.col("n") >= F.greatest(F.lit(5), F.lit(COMMON_SHARE * sample.count()))))
+                    near = WORD.findall(text[max(0, m.start() - novelty.reach - 40) : m.end() + novelty.reach + 40])
+                    reached.update(w for w in near if len(w) >= novelty.min_chars)
+                if len(counts) > HELD_WORDS:
+                    yield counted()
+                    counts.clear()
+                    reached.clear()
+        yield counted()
+
+    words = texts.mapInArrow(run, "word string, n long, suspect boolean").groupBy("word").agg(F.sum("n").alias("n"), F.max("suspect").alias("suspect"))
+    often = words.where(~F.col("suspect") & (F.col("n") >= F.greatest(F.lit(5), F.lit(COMMON_SHARE * number))))
     return [r["word"] for r in often.orderBy(F.desc("n"), "word").limit(MOST_IDENTIFIERS).collect()][::-1]
 
 

@@ -193,3 +193,19 @@ def test_stages_with_odd_rows(spark, tmp_path):
     plain = spark.read.parquet(f"{tmp_path}/plain")
     assert corpus_pipeline.dedup_lines(spark, plain, str(tmp_path)).count() == 30
     assert regex.fullmatch(r"\d+", str(corpus_pipeline.pack(spark, plain, str(tmp_path)).count())) and P.path("byte_bpe_50k.json")
+
+
+def test_identifiers_are_counted_in_every_text(spark, monkeypatch):
+    """Of 6,000 texts none is left out: a word in just 1 % of them is taken, one in a text less is not, equal texts count once, and one text near a sensitive word keeps a word out."""
+    texts = [f"n{i}" + " quokka_herder" * (i % 100 == 0) + " wombat" * (i % 100 == 1 and i > 1) + " lyrebirds_everywhere" * (i % 50 == 2) for i in range(5999)]
+    texts += ["the password is lyrebirds_everywhere"] + ["a wombat here"] * 300 + [None, ""]
+    docs = secrets.text_or_empty(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
+    for held, sent in ((secrets.HELD_WORDS, secrets.BROADCAST_TEXTS), (500, -1)):
+        monkeypatch.setattr(secrets, "HELD_WORDS", held)
+        monkeypatch.setattr(secrets, "BROADCAST_TEXTS", sent)
+        once, number = secrets.each_text_once(docs)
+        assert number == 6001 == once.count() == once.distinct().count()
+        common = secrets.common_identifiers(docs.where("text <> 'n1'"))
+        assert "quokka_herder" in common and "lyrebirds_everywhere" not in common
+        assert "wombat" in common  # 59 texts, and one that stands 300 times
+    assert "wombat" not in secrets.common_identifiers(docs.where("text <> 'a wombat here'"))
