@@ -135,26 +135,32 @@ def block_links(open_: DataFrame, entries: DataFrame, floor: float, content: Con
     cells = materialize(at.select("bucket", "id", "n", "root", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), key), "cells")
     size = cells.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, -(-size // TASK_SIZE))
+    # An id's entries and text are joined once, and reach a task once, however many of its cells there.
     known = entries.join(cells.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    full = cells.join(known, "id").join(content.texts, "id").select(F.pmod("key", F.lit(tasks)).alias("task"), "bucket", "lo", "hi", "own", "id", "root", "entries", "text")
+    places = cells.groupBy(F.pmod("key", F.lit(tasks)).alias("task"), "id", "root").agg(F.collect_list(F.struct("bucket", "lo", "hi", "own")).alias("at"))
+    full = materialize(places, "places").join(known.join(content.texts, "id"), "id").select("task", "id", "root", "entries", "text", *(F.col(f"at.{c}").alias(c) for c in ("bucket", "lo", "hi", "own")))
     sets_of, test = content.sets, content.test
 
     def compare(task: pd.DataFrame) -> pd.DataFrame:
-        task = task.sort_values(["bucket", "lo", "hi", "id"], kind="stable")
-        bucket, ids, roots, side = (task[c].to_numpy() for c in ("bucket", "id", "root", "own"))
-        cell = np.stack((bucket, task["lo"].to_numpy(), task["hi"].to_numpy()))
-        cuts = [*np.flatnonzero((np.diff(cell, axis=1) != 0).any(0)) + 1, len(task)]
+        entry = np.repeat(np.arange(len(task)), task["bucket"].map(len))
+        bucket, lo, hi, side = (np.concatenate(task[c].to_list()) for c in ("bucket", "lo", "hi", "own"))
+        known_ids = task["id"].to_numpy()
+        by = np.lexsort((known_ids[entry], hi, lo, bucket))
+        entry, bucket, lo, hi, side = (x[by] for x in (entry, bucket, lo, hi, side))
+        ids, roots = known_ids[entry], task["root"].to_numpy()[entry]
+        cell = np.stack((bucket, lo, hi))
+        cuts = [*np.flatnonzero((np.diff(cell, axis=1) != 0).any(0)) + 1, len(ids)]
         width = task["entries"].map(len).max()
         grid = np.arange(len(task) * width, dtype=np.int64).reshape(-1, width)  # missing entries equal none
         for i, e in enumerate(task["entries"]):
             grid[i, : len(e)] = e
         asked = []
         for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
-            apart = unmet(roots[a:b], side[a:b], grid[a:b], bucket[a])
+            apart = unmet(roots[a:b], side[a:b], grid[entry[a:b]], bucket[a])
             if apart.any():
                 own = np.flatnonzero(apart.any(0) | apart.any(1))
                 asked.append((own + a, apart[own][:, own]))
-        texts = dict(zip(ids.tolist(), task["text"], strict=True))
+        texts = dict(zip(known_ids.tolist(), task["text"], strict=True))
         wanted = list(dict.fromkeys(i for own, _ in asked for i in ids[own].tolist()))
         sets = dict(zip(wanted, sets_of([texts[i] for i in wanted]), strict=True))
         links = {x for own, apart in asked for x in cell_links([sets[i] for i in ids[own].tolist()], roots[own].tolist(), apart, floor, test)}

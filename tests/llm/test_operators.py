@@ -448,6 +448,25 @@ def test_inner_member_of_a_large_component(spark, monkeypatch):
     assert got == groups([(x, y) for x, y in itertools.combinations(sets, 2) if near(x, y)], sets)
 
 
+def test_text_of_many_cells_is_joined_once(spark, monkeypatch):
+    # 30 sets in three buckets, none similar: blocks of 4 give each many cells, but a task reads its text and entries once
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 4)
+    made, materialize = {}, neardup.materialize
+
+    def counted(df, name):
+        made[name] = materialize(df, name)
+        return made[name]
+
+    monkeypatch.setattr(neardup, "materialize", counted)
+    ids = range(30)
+    texts = spark.createDataFrame([(k, " ".join(str(1000 * k + i) for i in range(20))) for k in ids], "id long, text string")
+    entries = spark.createDataFrame([(k, [8, 9, 10]) for k in ids], "id long, entries array<long>")
+    open_ = spark.createDataFrame([(b, k, 20, k) for b in (8, 9, 10) for k in ids], "bucket long, id long, n long, root long")
+    content = neardup.Content(texts, lambda ts: [np.array(t.split(), dtype=np.uint64) for t in ts], None, None, True)
+    assert neardup.block_links(open_, entries, 0.8, content).count() == 0
+    assert made["cells"].count() > 3 * 5 * len(ids) and made["places"].count() == len(ids)
+
+
 def test_short_lines(spark):
     rows = [(1, "Home | About | Contact us\n\nown\n}"), (2, "home | about | contact us \n\n}\n目次"), (3, "Home | About | Contact us.\nelse\n目次")]
     got = fuzzy_lines.fuzzy_line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), least=1).collect()
