@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkeys as K
@@ -27,7 +27,7 @@ from .storage import materialize
 LENGTH = 200
 GRAM = 64
 WINDOW = LENGTH - GRAM + 1
-#: Most rows of a few numbers, or spans in such rows, sent to all executors; beyond, both sides of a join are dealt by its key.
+#: Most rows of a few numbers sent to all executors; beyond, both sides of a join are dealt by its key.
 BROADCAST_ROWS = 1_000_000
 #: Bytes a shard holds in the mean, and most runs of one gram that stay in one shard.
 SHARD_BYTES, SHARD_RUNS = 1 << 19, 1000
@@ -216,10 +216,9 @@ def merge_shards(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": row[first], "starts": np.split(start, first[1:]) if len(row) else []})
 
 
-def near(df: DataFrame, size: Column | None = None) -> DataFrame:
-    """Broadcast if its rows, or the sum of ``size`` over them, stay within BROADCAST_ROWS."""
-    total = df.count() if size is None else df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_ROWS else df
+def near(df: DataFrame) -> DataFrame:
+    """Broadcast if its rows stay within BROADCAST_ROWS."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -291,4 +290,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(columns[4], pa.binary())] * with_bytes, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes)
 
-    return docs.join(near(spans, F.size("spans") + 1), "row", "left").select("doc_id", "text", "spans").mapInArrow(strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes)
+    # Spans grow with the texts: both are dealt by row at every size, so that a small table's disk tells of a large one's.
+    return docs.join(spans.hint("merge"), "row", "left").select("doc_id", "text", "spans").mapInArrow(strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes)

@@ -284,6 +284,14 @@ def test_repeats(spark, empty, monkeypatch, small):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_repeats_are_dealt_by_row_at_every_size(spark):
+    texts = [prose(60, 31) + prose(20, k) for k in range(4)]
+    out = repeats.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert all(r["n_removed"] >= 200 for r in out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_suffix_order():
     text = np.frombuffer((b"banana" * 40 + b"band" * 9)[:270], np.uint8)
     order, levels = repeats.refine(text, 512)
