@@ -191,12 +191,21 @@ def content_of(docs: DataFrame, lines: DataFrame, live: DataFrame) -> Content:
     return Content(texts.withColumnRenamed("line", "text"), shingle_tokens, None, verify, False)
 
 
+def different_lines(lines: DataFrame) -> DataFrame:
+    """``id, n, entries`` (buckets) of each different line that has bands. Equal lines have equal bands, so maxima of two bands in a long each are theirs."""
+    pair = lambda k: F.shiftleft(F.col("bands")[2 * k].cast("long"), 32).bitwiseOR(F.col("bands")[2 * k + 1].cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    once = lines.where(F.size("bands") > 0).groupBy("id").agg(F.max("n").cast("long").alias("n"), *(F.max(pair(k)).alias(f"p{k}") for k in range(BANDS // 2)))
+    once = materialize(once, "different")
+    keys = [F.shiftright(x, 32) for k in range(BANDS // 2) for x in (F.col(f"p{k}"), F.shiftleft(f"p{k}", 32))]
+    return once.select("id", "n", F.array(*(F.shiftleft(key, 4).bitwiseOR(F.lit(band).cast("long")) for band, key in enumerate(keys))).alias("entries"))
+
+
 def repeated_lines(docs: DataFrame, least: int) -> DataFrame:
     """``row, removed`` (sorted line numbers from 0) of the documents of ``with_row`` that lose a line."""
     lines = materialize(line_bands(docs, least), "signatures")
-    entries = lines.select("id", F.transform("bands", lambda key, band: F.shiftleft(key.cast("long"), 4).bitwiseOR(band.cast("long"))).alias("entries"))
-    one = lines.select("id", F.col("n").cast("long").alias("n"), F.posexplode("bands").alias("band", "key"))
-    live = shared_buckets(one.select(F.shiftleft(F.col("key").cast("long"), 4).bitwiseOR(F.col("band").cast("long")).alias("bucket"), "id", "n"))
+    different = different_lines(lines)
+    live = shared_buckets(different.select(F.explode("entries").alias("bucket"), "id", "n"), unique=True)
+    entries = different.select("id", "entries")
     near = near_links(live, entries, SIMILARITY, content_of(docs, lines, live), 4)
     classed = lines.select("doc_id", "row", "line_no", "id").join(near, "id", "left").withColumn("class", F.coalesce("root", "id")).drop("root")
     place = F.struct("doc_id", "row", "line_no")

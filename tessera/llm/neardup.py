@@ -49,12 +49,17 @@ class Content:
     sized: bool
 
 
-def shared_buckets(rows: DataFrame) -> DataFrame:
-    """``bucket, id, n`` rows of the buckets that hold more than one id, each once."""
-    many = materialize(rows.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("bucket"), "buckets")
+def shared_buckets(rows: DataFrame, unique: bool = False) -> DataFrame:
+    """``bucket, id, n`` rows of the buckets that hold more than one id, each once; ``unique``: no row stands twice, so a count tells."""
+    if unique:
+        several = rows.groupBy("bucket").agg(F.count("*").alias("ids")).where("ids > 1")
+    else:
+        several = rows.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
+    many = materialize(several.select("bucket"), "buckets")
     if many.count() <= BROADCAST_BUCKETS:
         many = F.broadcast(many)
-    return materialize(rows.join(many, "bucket", "left_semi").distinct(), "live")
+    live = rows.join(many, "bucket", "left_semi")
+    return materialize(live if unique else live.distinct(), "live")
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:

@@ -475,6 +475,24 @@ def test_text_of_many_cells_is_joined_once(spark, monkeypatch):
     assert made["cells"].count() > 3 * 5 * len(ids) and made["places"].count() == len(ids)
 
 
+def test_equal_lines_go_to_buckets_once(spark, monkeypatch):
+    given, shared = [], fuzzy_lines.shared_buckets
+
+    def counted(rows, *args, **kw):
+        given.append(rows)
+        return shared(rows, *args, **kw)
+
+    monkeypatch.setattr(fuzzy_lines, "shared_buckets", counted)
+    line = "a line that stands in every one of the documents"
+    docs = spark.createDataFrame([(k, f"{line}\nshort\n{prose(12, 700 + k)}") for k in range(20)], "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in fuzzy_lines.fuzzy_line_dedup(docs, least=1).collect()}
+    assert got == {0: [], **{k: [0, 1] for k in range(1, 20)}}
+    lines = fuzzy_lines.line_bands(fuzzy_lines.with_row(docs, "doc_id", "text"), 1).where("size(bands) > 0")
+    want = {r["id"]: [(key << 4) | band for band, key in enumerate(r["bands"])] for r in lines.collect()}
+    assert given[0].count() == len(want) * fuzzy_lines.BANDS < lines.count() * fuzzy_lines.BANDS
+    assert {r["id"]: r["entries"] for r in fuzzy_lines.different_lines(lines).collect()} == want
+
+
 def test_short_lines(spark):
     rows = [(1, "Home | About | Contact us\n\nown\n}"), (2, "home | about | contact us \n\n}\n目次"), (3, "Home | About | Contact us.\nelse\n目次")]
     got = fuzzy_lines.fuzzy_line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), least=1).collect()
