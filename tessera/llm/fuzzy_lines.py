@@ -2,7 +2,7 @@
 
 A line's signature is a one-permutation MinHash: a shingle's hash chooses a bin
 and each bin keeps its minimum; bands of bins are buckets. Lines that share a bucket are compared by the exact Jaccard
-similarity of their shingle sets, similar ones are joined by a distributed
+similarity of their shingle sets (up to 64-bit keys), similar ones are joined by a distributed
 union-find, and each component keeps its first line.
 """
 
@@ -32,6 +32,10 @@ BANDS = HASHES * BINS // ROWS
 MIN_CHARS = 40
 #: What stands at a line's ends without being part of it; ASCII letters count in lower case.
 EDGE = " \t\r\x0b\x0c"
+#: Bytes or characters of text whose shingles are hashed at once: arrays of this size stay in a core's cache.
+PIECE = 1 << 17
+#: Bits of the filter of wanted lines, per line and at most (32 MB): one in 16 to 33 other lines passes it below that.
+BITS, MOST_BITS = 16, 1 << 28
 _RANDOM = np.random.default_rng(9)
 _CHAR = _RANDOM.integers(0, 2**31, CHARS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _CHAR64 = _RANDOM.integers(0, 2**63, CHARS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -51,10 +55,10 @@ def line_id(line: str) -> int:
 def shingle_hashes(points: np.ndarray) -> np.ndarray:
     """32-bit hashes of the CHARS code points from each place on."""
     n = len(points) - CHARS + 1
-    h = np.zeros(n, dtype=np.uint32)
+    h, t = np.zeros(n, dtype=np.uint32), np.empty(n, dtype=np.uint32)
     for k in range(CHARS):
-        h += points[k : k + n] * _CHAR[k]
-        h ^= h >> np.uint32(15)
+        h += np.multiply(points[k : k + n], _CHAR[k], out=t)
+        h ^= np.right_shift(h, np.uint32(15), out=t)
     h *= np.uint32(0x2C1B3C6D)
     return h ^ (h >> np.uint32(12))
 
@@ -78,15 +82,20 @@ def band_keys(lines: list[str]) -> np.ndarray:
     ends = np.cumsum(sizes)
     across = (ends[:-1, None] - np.arange(1, CHARS)).ravel()  # shingles that run into the next line
     row[across[across < len(h)]] = len(lines) * BINS
-    out = []
+    out, v, t, bin_ = [], np.empty_like(h), np.empty_like(h), np.empty_like(row)
     for times in _TIMES:
-        v = h * times
-        v ^= v >> np.uint32(15)
+        np.multiply(h, times, out=v)
+        v ^= np.right_shift(v, np.uint32(15), out=t)
         v *= np.uint32(0x297A2D39)
-        v ^= v >> np.uint32(15)
-        bin_ = ((v >> np.uint32(16)) * np.uint32(BINS)) >> np.uint32(16)
+        v ^= np.right_shift(v, np.uint32(15), out=t)
+        np.right_shift(v, np.uint32(16), out=t)
+        t *= np.uint32(BINS)
+        t >>= np.uint32(16)
+        np.add(row, t, out=bin_)
+        v *= np.uint32(0x85EBCA6B)
+        v >>= np.uint32(1)
         low = np.full((len(lines) + 1) * BINS, _NONE, dtype=np.uint32)
-        np.minimum.at(low, row + bin_, v * np.uint32(0x85EBCA6B) >> np.uint32(1))
+        np.minimum.at(low, bin_, v)
         out.append(densified(low[: len(lines) * BINS].reshape(-1, BINS)))
     bands = np.concatenate(out, axis=1).reshape(len(lines), BANDS, ROWS).astype(np.uint64)
     key = np.zeros((len(lines), BANDS), dtype=np.uint64)
@@ -99,14 +108,22 @@ def shingle_set(line: str) -> set[str]:
     return {line[i : i + CHARS] for i in range(len(line) - CHARS + 1)}
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The different values, sorted."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
+
+
 def shingle_tokens(lines: list[str]) -> list[np.ndarray]:
-    """64-bit keys of each line's distinct shingles, sorted; lines are hashed a million characters at a time."""
+    """64-bit keys of each line's distinct shingles, sorted; lines are hashed PIECE characters at a time."""
     out: list[np.ndarray] = []
     some, size = [], 0
     for line in lines:
         some.append(lower_ascii(line).strip(EDGE))
         size += len(line)
-        if size >= 1 << 20:
+        if size >= PIECE:
             out += _tokens_of(some)
             some, size = [], 0
     return out + _tokens_of(some)
@@ -115,16 +132,34 @@ def shingle_tokens(lines: list[str]) -> list[np.ndarray]:
 def _tokens_of(lines: list[str]) -> list[np.ndarray]:
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     h = np.zeros(max(len(points) - CHARS + 1, 0), dtype=np.uint64)
+    t = np.empty_like(h)
     for k in range(CHARS if len(h) else 0):
-        h += points[k : k + len(h)] * _CHAR64[k]
+        h += np.multiply(points[k : k + len(h)], _CHAR64[k], out=t)
     h = K.mix(h)
     ends = np.cumsum([len(x) for x in lines])
-    return [np.unique(h[b - len(x) : max(b - CHARS + 1, b - len(x))]) for x, b in zip(lines, ends.tolist(), strict=True)]
+    return [distinct(h[b - len(x) : max(b - CHARS + 1, b - len(x))]) for x, b in zip(lines, ends.tolist(), strict=True)]
+
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of at least SIMILARITY; sets too different in size aren't compared."""
+    if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
+        return False
+    both = np.concatenate((a, b))
+    both.sort()
+    shared = np.count_nonzero(both[1:] == both[:-1])
+    return shared / (len(both) - shared) >= SIMILARITY
 
-def jaccard(a: set[str], b: set[str]) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both)
+
+def similar_pairs(xs: list[str], ys: list[str]) -> Iterator[bool]:
+    """``similar`` of each two lines, whose shingles are hashed once for each run of pairs of about a million characters."""
+    ends = np.cumsum([len(x) + len(y) for x, y in zip(xs, ys, strict=True)])
+    at = 0
+    while at < len(xs):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 8 * PIECE, "right")))
+        lines = list(dict.fromkeys(xs[at:to] + ys[at:to]))
+        sets = dict(zip(lines, shingle_tokens(lines), strict=True))
+        yield from (similar(sets[x], sets[y]) for x, y in zip(xs[at:to], ys[at:to], strict=True))
+        at = to
 
 
 def with_row(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -142,7 +177,7 @@ def line_bands(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding.release()
         for batch in batches:
-            for part, _, _ in K.pieces(batch, "text", 1 << 19):
+            for part, _, _ in K.pieces(batch, "text", PIECE):
                 places, lines = [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
                     for no, line in enumerate(lower_ascii(text).split("\n")):
@@ -152,7 +187,7 @@ def line_bands(docs: DataFrame, least: int) -> DataFrame:
                 if not lines:
                     continue
                 at, no = (np.array(x) for x in zip(*places, strict=True))
-                rows = part.take(pa.array(at)).select(["doc_id", "row"])
+                rows = part.select(["doc_id", "row"]).take(pa.array(at))
                 shingled = [x for x in lines if len(x) >= CHARS]
                 keys = band_keys(shingled).ravel() if shingled else np.zeros(0, dtype=np.int32)
                 ends = np.cumsum([0] + [BANDS if len(x) >= CHARS else 0 for x in lines])
@@ -163,25 +198,31 @@ def line_bands(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row long, line_no int, id long, n int, bands array<int>")
 
 
+def among(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """The ``rows`` whose ``key`` is one of the materialized ``wanted``, and few others: those that share a bit of a filter with one."""
+    bits = min(MOST_BITS, 1 << max(15, (BITS * wanted.count() - 1).bit_length()))
+    at = F.xxhash64(*key).bitwiseAND(F.lit(bits - 1)) + 1
+    chunk, bit = F.bitmap_bucket_number(at).alias("chunk"), F.bitmap_bit_position(at).alias("bit")
+    filter_ = wanted.select(chunk, bit).repartition("chunk").groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    byte = F.conv(F.hex(F.substring("bitmap", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, (F.col("bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return rows.select("*", chunk, bit).join(F.broadcast(filter_), "chunk").where(is_set).select(*rows.columns)
+
+
 def content_of(docs: DataFrame, lines: DataFrame, live: DataFrame) -> Content:
-    """The lines in question, gathered once, and how they are compared, by exact Jaccard similarity."""
+    """The lines in question, gathered once, and how they are compared, by Jaccard similarity of their sets of 64-bit shingle keys."""
     wanted = live.select("id").distinct()
     first = lines.join(wanted, "id").groupBy("id").agg(F.min(F.struct("row", "line_no")).alias("p"))
-    places = first.groupBy(F.col("p.row").alias("row")).agg(F.collect_list(F.struct("id", F.col("p.line_no").alias("no"))).alias("at"))
-    held = docs.select("row", "text").join(places, "row").dropDuplicates(["row"]).withColumn("ls", F.split("text", "\n")).select(F.explode(F.transform("at", lambda a: F.struct(a["id"].alias("id"), F.element_at("ls", a["no"] + 1).alias("line")))).alias("l"))
-    texts = materialize(held.select("l.id", "l.line"), "lines")
+    first = materialize(first.select("id", F.col("p.row").alias("row"), F.col("p.line_no").alias("line_no")), "firsts")
+    # A filter of places, sent to all, keeps other lines from being dealt; the join is exact.
+    some = among(docs.select("row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")), first, "row", "line_no")
+    texts = materialize(some.join(first, ["row", "line_no"]).dropDuplicates(["row", "line_no"]).select("id", "line"), "lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, of_last = None, set()  # pairs come sorted by the first line, a leader mostly
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                if x != last:
-                    last, of_last = x, shingle_set(lower_ascii(x).strip(EDGE))
-                y = lower_ascii(y).strip(EDGE)
-                # A set has no more shingles than its line has places for them.
-                good.append(len(y) - CHARS + 1 >= SIMILARITY * len(of_last) and jaccard(of_last, shingle_set(y)) >= SIMILARITY)
+            good = similar_pairs(batch.column("x").to_pylist(), batch.column("y").to_pylist())
             yield batch.select(["ra", "rb"]).filter(pa.array(good, pa.bool_()))
+        trim()
 
     def verify(pairs: DataFrame) -> DataFrame:
         x = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
@@ -200,13 +241,18 @@ def different_lines(lines: DataFrame) -> DataFrame:
     return once.select("id", "n", F.array(*(F.shiftleft(key, 4).bitwiseOR(F.lit(band).cast("long")) for band, key in enumerate(keys))).alias("entries"))
 
 
+def shared_entries(live: DataFrame) -> DataFrame:
+    """``id, entries``: the ``live`` buckets of each line by band; for one that no other line is in stands ``id``, which is no other line's."""
+    held = [F.coalesce(F.max(F.when(F.col("bucket").bitwiseAND(F.lit(15)) == band, F.col("bucket"))), F.col("id")) for band in range(BANDS)]
+    return live.groupBy("id").agg(F.array(*held).alias("entries"))
+
+
 def repeated_lines(docs: DataFrame, least: int) -> DataFrame:
     """``row, removed`` (sorted line numbers from 0) of the documents of ``with_row`` that lose a line."""
     lines = materialize(line_bands(docs, least), "signatures")
     different = different_lines(lines)
     live = shared_buckets(different.select(F.explode("entries").alias("bucket"), "id", "n"), unique=True)
-    entries = different.select("id", "entries")
-    near = near_links(live, entries, SIMILARITY, content_of(docs, lines, live), 4)
+    near = near_links(live, shared_entries(live), SIMILARITY, content_of(docs, lines, live), 4)
     classed = lines.select("doc_id", "row", "line_no", "id").join(near, "id", "left").withColumn("class", F.coalesce("root", "id")).drop("root")
     place = F.struct("doc_id", "row", "line_no")
     # Most lines stand alone: a count sends them off before anything is sorted.
@@ -228,7 +274,7 @@ def fuzzy_line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal ids and texts are one document, each row giving the same result.
     """
     docs = with_row(df, id_col, text_col)
-    counted = docs.select("doc_id", "row", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
+    counted = docs.select("doc_id", "row", (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1).cast("long").alias("n_lines"))
     out = counted.join(repeated_lines(docs, least), "row", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 

@@ -493,6 +493,51 @@ def test_equal_lines_go_to_buckets_once(spark, monkeypatch):
     assert {r["id"]: r["entries"] for r in fuzzy_lines.different_lines(lines).collect()} == want
 
 
+def test_only_lines_in_question_are_dealt(spark, monkeypatch):
+    passed, among = [], fuzzy_lines.among
+
+    def kept(rows, wanted, *key):
+        passed.append((rows, wanted, among(rows, wanted, *key)))
+        return passed[-1][-1]
+
+    monkeypatch.setattr(fuzzy_lines, "among", kept)
+    own = [prose(300, 800 + k).replace("\n", f" {k}\n") for k in range(30)]
+    line = "this line stands in two of the documents, in one of them with another end"
+    docs = spark.createDataFrame([(k, f"{line}{'.' * (k == 7)}\n{x}" if k in (3, 7) else x) for k, x in enumerate(own)], "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in fuzzy_lines.fuzzy_line_dedup(docs).collect()}
+    assert got == {k: [0] if k == 7 else [] for k in range(30)}
+    [(rows, wanted, some)] = passed
+    held = {(r["row"], r["line_no"]) for r in wanted.collect()}
+    assert held <= {(r["row"], r["line_no"]) for r in some.collect()} and some.count() <= len(held) + rows.count() // 10
+
+
+def test_filter_of_places_loses_none(spark, monkeypatch):
+    rows = spark.range(60000).select(F.col("id").alias("row"), (F.col("id") % 7).cast("int").alias("line_no"))
+    wanted = rows.where("row % 20 = 0")
+    for most, share in ((1 << 28, 0.08), (1 << 15, 0.2), (1 << 10, 1)):  # a full filter lets more pass
+        monkeypatch.setattr(fuzzy_lines, "MOST_BITS", most)
+        some = fuzzy_lines.among(rows, wanted, "row", "line_no")
+        assert some.intersect(wanted).count() == 3000 and some.columns == rows.columns and some.count() <= 3000 + 57000 * share
+
+
+def test_similar_lines_against_sets():
+    r = random.Random(6)
+    lines = ["abcdefghijkl", "abcdefghijk", "ABCDEFGHIJKL ", "a" * 40, "a" * 9, "abcdefgh", "abcdefgx", "x" * 200000 + "yz", "x" * 150000 + "yz"]
+    for k in range(40):
+        line = prose(r.choice([2, 5, 30, 200]), 900 + k).replace("\n", " ") + " and so on"
+        lines += [line, line[: int(len(line) * r.uniform(0.7, 1))], line.replace("a", "o", r.randint(1, 3)), line.upper()]
+    pairs = [*itertools.combinations(lines, 2)]
+    sets = {x: fuzzy_lines.shingle_set(fuzzy_lines.lower_ascii(x).strip(fuzzy_lines.EDGE)) for x in lines}
+    want = [len(sets[x] & sets[y]) / len(sets[x] | sets[y]) >= 0.8 for x, y in pairs]
+    assert [*fuzzy_lines.similar_pairs(*map(list, zip(*pairs, strict=True)))] == want and want[0] and 40 < sum(want) < len(want) // 2
+
+
+def test_entries_of_lines_keep_their_band(spark):
+    live = spark.createDataFrame([(5 << 4, 1), (-9 << 4 | 7, 1), (5 << 4, 2), (6 << 4 | 3, 2)], "bucket long, id long")
+    got = {r["id"]: r["entries"] for r in fuzzy_lines.shared_entries(live).collect()}
+    assert got == {1: [80, 1, 1, 1, 1, 1, 1, -137], 2: [80, 2, 2, 99, 2, 2, 2, 2]}
+
+
 def test_short_lines(spark):
     rows = [(1, "Home | About | Contact us\n\nown\n}"), (2, "home | about | contact us \n\n}\n目次"), (3, "Home | About | Contact us.\nelse\n目次")]
     got = fuzzy_lines.fuzzy_line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), least=1).collect()
