@@ -37,3 +37,17 @@ def test_one_place_is_many_calls(spark):
     df = spark.range(3000).selectExpr("id", "array(0d, 0d, 1d + id % 7, 1d) as box")
     calls = overlap.by_place(df.selectExpr("id as a", "box as a_box"), df.selectExpr("id as b", "box as b_box"), [], 8.0, lambda p, q: p.slice(0, 1).select(["a"]).append_column("n", [[p.num_rows * q.num_rows]]), "a long, n long").collect()
     assert len(calls) > 9 and sum(r["n"] for r in calls) == 3000**2 and max(r["n"] for r in calls) < 2**20
+
+
+def test_measures_of_rows_are_those_of_columns(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import boxes as B
+
+    pairs = [(p, q) for _, _, p in made(40, 3) for _, _, q in made(40, 4)]
+    x, y = F.col("p"), F.col("q")
+    columns = spark.createDataFrame(pairs, "p array<double>, q array<double>").select(B.giou_xyxy(x, y), B.ioa_xyxy(x, y), B.iom_xyxy(x, y), B.centre_similarity(x, y, 100.0)).collect()
+    p, q = (np.array(v) for v in zip(*pairs, strict=True))
+    ours = np.stack((A.giou(p, q), A.ioa(p, q), A.iom(p, q), A.centre_similarity(p, q, 100.0)), axis=1)
+    assert np.array_equal(ours, np.array(columns))
+    assert A.rounded(np.array([0.5, -0.5, 1.5, 2.4]), 0).tolist() == [1.0, -1.0, 2.0, 2.0]
