@@ -51,3 +51,18 @@ def test_measures_of_rows_are_those_of_columns(spark):
     ours = np.stack((A.giou(p, q), A.ioa(p, q), A.iom(p, q), A.centre_similarity(p, q, 100.0)), axis=1)
     assert np.array_equal(ours, np.array(columns))
     assert A.rounded(np.array([0.5, -0.5, 1.5, 2.4]), 0).tolist() == [1.0, -1.0, 2.0, 2.0]
+
+
+def test_best_tracks_against_all_pairs(spark):
+    d, t = made(150, 5), made(150, 6)
+    dets = spark.createDataFrame([(*x, x[1] / 150) for x in d], "k string, det long, box array<double>, score double")
+    tracks = spark.createDataFrame(t, "k string, track long, box array<double>")
+    met = [(k, i, j, round(v, 6)) for k, i, j, v in brute(d, t) if round(v, 6) >= 0.1]
+    of_dets, of_tracks = overlap.associate(dets, tracks, ["k"], 10.0, 0.1, 0.5)
+    for r in of_dets.collect():
+        own = sorted((-v, j) for k, i, j, v in met if i == r["det"])
+        assert (r["best_track"], r["best_iou"]) == ((own[0][1], pytest.approx(-own[0][0])) if own else (None, None))
+        assert r["is_new"] == (not own and r["score"] >= 0.5)
+    for r in of_tracks.collect():
+        own = [(i, v) for k, i, j, v in met if j == r["track"]]
+        assert r["unmatched"] == (not own) and r["confident"] == any(v >= 0.8 and i / 150 >= 0.8 for i, v in own)
