@@ -66,3 +66,19 @@ def test_best_tracks_against_all_pairs(spark):
     for r in of_tracks.collect():
         own = [(i, v) for k, i, j, v in met if j == r["track"]]
         assert r["unmatched"] == (not own) and r["confident"] == any(v >= 0.8 and i / 150 >= 0.8 for i, v in own)
+
+
+def test_one_to_many_against_all_pairs(spark):
+    a = made(120, 7)
+    p = lambda i: i % 13 / 13
+    df = spark.createDataFrame(a, KIND.format("a"))
+    other = spark.createDataFrame([(*x, p(x[1])) for x in a], f"{KIND.format('b')}, p double")
+    rated: dict = {}
+    for k, i, j, v in brute(a, a):
+        if i != j:
+            rated.setdefault((k, i), []).append((j, A.rounded(np.array([0.3 * p(j) + (1 - 0.3) * v]), 6)[0]))
+    expected = set()
+    for (k, i), found in rated.items():
+        cut = round(float(np.quantile([c for _, c in found], 1 - 3 / 10)), 6)
+        expected |= {(k, i, j, c) for j, c in found if c > cut and c > 0.4}
+    assert set(map(tuple, overlap.one_to_many(df, other, ["k"], 10.0, 3, 10).collect())) == expected
