@@ -118,52 +118,72 @@ def combined_hota(parts: DataFrame) -> DataFrame:
     return out.withColumn("hota", F.sqrt(F.col("det_a") * F.col("ass_a"))).withColumn("owta", F.sqrt(F.col("det_re") * F.col("ass_a")))
 
 
-def _sequence(rows: pd.DataFrame, g_ids: np.ndarray, d_ids: np.ndarray, n_g: np.ndarray, n_d: np.ndarray):
-    """Alignment of tracks over a sequence and, per frame, the assignment of greatest alignment times similarity."""
-    shape = (len(g_ids), len(d_ids))
-    together, frames = np.zeros(shape), []
+def _frames(rows: pd.DataFrame, g_ids: np.ndarray, d_ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The tracks of each frame and their similarities."""
+    out = []
     for _, f in rows.groupby("frame", sort=True):
         g, gi = np.unique(f["g"], return_inverse=True)
         d, di = np.unique(f["d"], return_inverse=True)
         sim = np.zeros((len(g), len(d)))
         sim[gi, di] = f["iou"]
-        den = sim.sum(1, keepdims=True) + sim.sum(0, keepdims=True) - sim
-        g, d = np.searchsorted(g_ids, g), np.searchsorted(d_ids, d)
-        together[np.ix_(g, d)] += np.divide(sim, den, out=np.zeros_like(sim), where=den > 0)
-        frames.append((g, d, sim))
-    den = n_g[:, None] + n_d[None] - together
-    align = np.divide(together, den, out=np.zeros(shape), where=den > 0)
-    for g, d, sim in frames:
-        pairs = assign(-(align[np.ix_(g, d)] * sim))
-        yield from ((g[r], d[c], sim[r, c]) for r, c in pairs)
+        out.append((np.searchsorted(g_ids, g), np.searchsorted(d_ids, d), sim))
+    return out
 
 
 def hota(pairs: DataFrame, gt: DataFrame, dt: DataFrame, key: str, alphas: list[float] = HOTA_ALPHAS) -> DataFrame:
     """``key, alpha, tp, fn, fp, loc, ass_a, ass_re, ass_pr`` per sequence.
 
     ``pairs`` has key, frame, g, d, iou for boxes that overlap; ``gt`` and
-    ``dt`` have key, frame and g or d. A sequence is one group.
+    ``dt`` have key, frame and g or d. In a frame with one pair nothing is to
+    be assigned: such frames are counted by tracks and by the number of
+    ``alphas`` (rising) they reach. A sequence's counts and the pairs of its
+    other frames are one group.
     """
     kind = gt.schema[key].dataType.simpleString()
-    boxes = gt.select(key, "frame", "g", F.lit(None).cast("long").alias("d"), F.lit(None).cast("double").alias("iou"))
-    boxes = boxes.unionByName(dt.select(key, "frame", F.lit(None).cast("long").alias("g"), "d", F.lit(None).cast("double").alias("iou")))
-    rows = boxes.unionByName(pairs.select(key, "frame", "g", "d", "iou"))
-
-    def run(all_rows: pd.DataFrame) -> pd.DataFrame:
-        met = all_rows[all_rows["iou"].notna()]
-        g_ids, n_g = np.unique(all_rows.loc[all_rows["iou"].isna(), "g"].dropna(), return_counts=True)
-        d_ids, n_d = np.unique(all_rows.loc[all_rows["iou"].isna(), "d"].dropna(), return_counts=True)
-        hits = [*_sequence(met, g_ids, d_ids, n_g, n_d)] if len(met) else []
-        out = []
-        for alpha in alphas:
-            good = [h for h in hits if h[2] >= alpha - np.finfo(float).eps]
-            c = np.zeros((len(g_ids), len(d_ids)))
-            for g, d, _ in good:
-                c[g, d] += 1
-            tp, one = len(good), max(1, len(good))
-            over = lambda den: float((c * c / np.maximum(1, den)).sum() / one)
-            out.append((all_rows[key].iloc[0], alpha, tp, int(n_g.sum()) - tp, int(n_d.sum()) - tp, float(sum(h[2] for h in good) / one), over(n_g[:, None] + n_d[None] - c), over(n_g[:, None] + 0 * c), over(n_d[None] + 0 * c)))
-        return pd.DataFrame(out, columns=[key, "alpha", "tp", "fn", "fp", "loc", "ass_a", "ass_re", "ass_pr"])
+    eps = float(np.finfo(float).eps)
+    reached = lambda iou: sum((F.when(iou >= a - eps, 1).otherwise(0) for a in alphas), F.lit(0))
+    null = lambda t: F.lit(None).cast(t)
+    none = {"frame": null("long"), "g": null("long"), "d": null("long"), "iou": null("double"), "reached": null("int"), "n": null("long")}
+    row = lambda df, *more: df.select(key, *(c.alias(k) for k, c in (none | {k: F.col(k) for k in more}).items()))
+    met = pairs.select(key, "frame", "g", "d", F.col("iou").cast("double").alias("iou")).withColumn("n", F.count("*").over(W.partitionBy(key, "frame")))
+    alone = F.col("n") == 1
+    met = met.where("iou > 0 or n > 1").select(key, F.when(~alone, F.col("frame")).alias("frame"), "g", "d", "iou", F.when(alone, reached(F.col("iou"))).alias("reached"))
+    met = met.groupBy(key, "frame", "g", "d", "reached").agg(F.sum("iou").alias("iou"), F.count("*").alias("n"))
+    rows = row(gt.groupBy(key, "g").agg(F.count("*").alias("n")), "g", "n").unionByName(row(dt.groupBy(key, "d").agg(F.count("*").alias("n")), "d", "n"))
+    rows = rows.unionByName(row(met, "frame", "g", "d", "iou", "reached", "n"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        g, d, iou, n, frame, most = (rows[c].to_numpy() for c in ("g", "d", "iou", "n", "frame", "reached"))
+        counts, one = np.isnan(iou), ~pd.isna(most)
+        of = lambda x, own: (x[own].astype(np.int64), n[own].astype(np.int64))
+        (g_ids, n_g), (d_ids, n_d) = of(g, counts & ~pd.isna(g)), of(d, counts & ~pd.isna(d))
+        (g_ids, n_g), (d_ids, n_d) = ((x[o], m[o]) for x, m in ((g_ids, n_g), (d_ids, n_d)) for o in [np.argsort(x)])
+        shape = (len(g_ids), len(d_ids))
+        together, hits = np.zeros(shape), np.zeros((len(alphas) + 1, *shape), dtype=np.int64)
+        loc = np.zeros(len(alphas) + 1)
+        at = np.searchsorted(g_ids, g[one].astype(np.int64)), np.searchsorted(d_ids, d[one].astype(np.int64))
+        np.add.at(together, at, n[one])
+        np.add.at(hits, (most[one].astype(np.int64), *at), n[one].astype(np.int64))
+        np.add.at(loc, most[one].astype(np.int64), iou[one])
+        if (several := ~pd.isna(frame)).any():
+            frames = _frames(rows.loc[several, ["frame", "g", "d", "iou"]], g_ids, d_ids)
+            for r, c, sim in frames:
+                den = sim.sum(1, keepdims=True) + sim.sum(0, keepdims=True) - sim
+                together[np.ix_(r, c)] += np.divide(sim, den, out=np.zeros_like(sim), where=den > 0)
+            den = n_g[:, None] + n_d[None] - together
+            align = np.divide(together, den, out=np.zeros(shape), where=den > 0)
+            for r, c, sim in frames:
+                for i, j in assign(-(align[np.ix_(r, c)] * sim)):
+                    k = int(sum(sim[i, j] >= a - eps for a in alphas))
+                    hits[k, r[i], c[j]] += 1
+                    loc[k] += sim[i, j]
+        # What reaches an alpha reaches those before it.
+        c, loc = np.cumsum(hits[::-1], axis=0)[::-1][1:].astype(float), np.cumsum(loc[::-1])[::-1][1:]
+        tp = c.sum((1, 2))
+        per = np.maximum(1, tp)
+        over = lambda den: (c * c / np.maximum(1, den)).sum((1, 2)) / per
+        g_side, d_side = n_g[:, None] + np.zeros(shape), n_d[None] + np.zeros(shape)
+        return pd.DataFrame({key: [rows[key].iloc[0]] * len(alphas), "alpha": alphas, "tp": tp.astype(np.int64), "fn": int(n_g.sum()) - tp.astype(np.int64), "fp": int(n_d.sum()) - tp.astype(np.int64), "loc": loc / per, "ass_a": over(g_side + d_side - c), "ass_re": over(g_side), "ass_pr": over(d_side)})
 
     return rows.groupBy(key).applyInPandas(run, f"{key} {kind}, alpha double, tp long, fn long, fp long, loc double, ass_a double, ass_re double, ass_pr double")
 

@@ -101,8 +101,9 @@ def a32_tagged(spark, sf_dir):
 
 def sequences(spark, sf_dir):
     """Suppliers stand for videos, their orders for frames, with up to three tracks on either side."""
-    f = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("video"), F.col("l_orderkey").alias("frame"), (F.col("l_partkey") % 3).alias("g"), (F.col("l_linenumber") % 3).cast("long").alias("d")).agg(F.min("l_quantity").alias("q"), F.min("l_discount").alias("s"))
-    of = lambda k: f.groupBy("video", "frame", k).agg(F.min("q").alias("q"), F.min("s").alias("s"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("video"), F.col("l_orderkey").alias("frame"), (F.col("l_partkey") % 3).alias("g"), (F.col("l_linenumber") % 3).cast("long").alias("d"), "l_quantity", "l_discount")
+    rows = rows.repartition("video", "frame")  # dealt once for all that follows
+    of = lambda k: rows.groupBy("video", "frame", k).agg(F.min("l_quantity").alias("q"), F.min("l_discount").alias("s"))
     box = lambda x: F.array(x, F.lit(0.0), x + 20, F.lit(10.0))
     gt = of("g").select("video", "frame", "g", box(F.col("q")).alias("a_box"))
     dt = of("d").select("video", "frame", "d", box(F.col("q") + F.col("s") * 50).alias("b_box"))
