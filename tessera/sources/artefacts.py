@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,14 +124,26 @@ def write_artefacts(df: DataFrame, path: str, dataset: str = "", overwrite: bool
 
 
 def read_artefacts(spark: SparkSession, path: str) -> DataFrame:
-    """``record_id, kind, extension, content`` of the whole parts of a folder, read by Spark; its file scan passes over empty files, which the parts' lists name."""
+    """``record_id, kind, extension, content`` of the whole parts of a folder; tasks open the files that the parts' lists name, so the driver lists no file but those lists."""
     parts = [f"{path}/{p}" for p in manifest(path)["parts"]]
     if not parts:
         return spark.createDataFrame([], ARTEFACT)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*_*").load(parts).select(F.substring_index("path", "/", -2).alias("file"), "content")
     listed = spark.read.schema("record_id long, kind string, file string").json([f"{p}/samples.jsonl" for p in parts])
-    extension = F.substring_index("file", ".", -1)
-    return listed.join(files, "file", "left").select("record_id", "kind", extension.alias("extension"), F.coalesce("content", F.lit(b"")).alias("content"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = opened(path)
+        schema = pa.schema([("record_id", pa.int64()), ("kind", pa.string()), ("extension", pa.string()), ("content", pa.binary())])
+        for b in batches:
+            # A few files at a time: contents may be of any size.
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64).to_pydict()
+                contents = []
+                for file in part["file"]:
+                    with fs.open_input_stream(f"{root.rstrip('/')}/{file}") as f:
+                        contents.append(f.read())
+                yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip((part["record_id"], part["kind"], [f.rsplit(".", 1)[-1] for f in part["file"]], contents), schema, strict=True)], schema=schema)
+
+    return listed.mapInArrow(run, ARTEFACT)
 
 
 @dataclass

@@ -93,3 +93,12 @@ def test_frame_ranges_are_pruned(spark):
         assert A.read_frames(spark, "<dummy-video-100>").where("frame = 500").count() == 0
     finally:
         spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_reading_back_lists_no_artefact_on_the_driver(spark, tmp_path):
+    """The files of artefacts are many; the driver knows only the lists of the parts."""
+    rows = spark.range(300).selectExpr("id as record_id", "'input' as kind", "'txt' as extension", "cast(repeat('x', cast(id % 3 as int)) as binary) as content")
+    A.write_artefacts(rows, str(tmp_path / "out"), "many")
+    back = A.read_artefacts(spark, str(tmp_path / "out"))
+    assert all(f.endswith("/samples.jsonl") for f in back.inputFiles())
+    assert sorted((r["record_id"], r["kind"], r["extension"], bytes(r["content"])) for r in back.collect()) == [(i, "input", "txt", b"x" * (i % 3)) for i in range(300)]
